@@ -56,3 +56,10 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a path in the shared folder, if it is there."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
