@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stemma.llm import copies, encoding, text_forms
+from stemma.llm import containment, copies, encoding, spans, text_forms
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,8 +57,24 @@ def p7_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return there.join(back, "doc_id").groupBy((F.col("h") == F.col("h0")).alias("whole")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold at least half of a test item, with the item."""
+    return containment.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of documents that share a span of 300 characters or more."""
+    return spans.sharing_pairs(*spans.shared_spans(_table(spark, sf_dir, "documents")))
+
+
+def p9_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of each document is shared elsewhere."""
+    documents = _table(spark, sf_dir, "documents")
+    return spans.shared_extent(documents, *spans.shared_spans(documents))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_records, p2_found, p2_groups, p6_found, p7_ids, p7_roundtrip)}
+    return {f.__name__: f for f in (p1_found, p1_records, p2_found, p2_groups, p6_found, p7_ids, p7_roundtrip, p8_found, p9_found, p9_extent)}
 
 
 def oracle_sql() -> dict[str, str]:
