@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stemma.llm import containment, copies, encoding, spans, text_forms
+from stemma.llm import containment, copies, encoding, people, spans, text_forms
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,11 @@ def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_forms.spelling_groups(text_forms.spelled_values(_table(spark, sf_dir, "papers"), _table(spark, sf_dir, "authorships")))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the spellings of one person."""
+    return people.author_links(_table(spark, sf_dir, "professors"), _table(spark, sf_dir, "departments"), _table(spark, sf_dir, "authorships"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The row whose value survives for each field of each group of copies."""
     papers = _table(spark, sf_dir, "papers")
@@ -74,7 +79,7 @@ def p9_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_records, p2_found, p2_groups, p6_found, p7_ids, p7_roundtrip, p8_found, p9_found, p9_extent)}
+    return {f.__name__: f for f in (p1_found, p1_records, p2_found, p2_groups, p5_found, p6_found, p7_ids, p7_roundtrip, p8_found, p9_found, p9_extent)}
 
 
 def oracle_sql() -> dict[str, str]:
