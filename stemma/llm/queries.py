@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stemma.llm import containment, copies, encoding, people, spans, text_forms
+from stemma.llm import containment, copies, encoding, matching, people, spans, text_forms
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,22 @@ def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_forms.spelling_groups(text_forms.spelled_values(_table(spark, sf_dir, "papers"), _table(spark, sf_dir, "authorships")))
 
 
+def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.matches(_table(spark, sf_dir, "professors"), _table(spark, sf_dir, "departments"), _table(spark, sf_dir, "author_profiles"))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of two sources about the same person."""
+    return _matches(spark, sf_dir).where(f"confidence > {matching.MATCH}").select("professor_id", "profile_id")
+
+
+def p3_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All candidate pairs with their confidence."""
+    from pyspark.sql import functions as F
+
+    return _matches(spark, sf_dir).withColumn("confidence", F.round("confidence", 4))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links between the spellings of one person."""
     return people.author_links(_table(spark, sf_dir, "professors"), _table(spark, sf_dir, "departments"), _table(spark, sf_dir, "authorships"))
@@ -79,7 +95,7 @@ def p9_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_records, p2_found, p2_groups, p5_found, p6_found, p7_ids, p7_roundtrip, p8_found, p9_found, p9_extent)}
+    return {f.__name__: f for f in (p1_found, p1_records, p2_found, p2_groups, p3_found, p3_matches, p5_found, p6_found, p7_ids, p7_roundtrip, p8_found, p9_found, p9_extent)}
 
 
 def oracle_sql() -> dict[str, str]:
