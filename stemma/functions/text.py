@@ -10,8 +10,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-WS = r"[\s   -   　]"
-
 
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
