@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stemma.llm.names import edits, given_match, institution, institution_match, name_score, readings
-from stemma.llm.people import candidates, digits, given_words, keyed_names, roster
+from stemma.llm.people import candidates, comparable, digits, given_words, keyed_names, roster, with_place
 from stemma.session import written
 
 #: Factor by which each partner beyond a record's first is less likely.
@@ -89,8 +89,10 @@ def candidate_pairs(people: DataFrame, profiles: DataFrame, givens: DataFrame) -
     """``professor_id, profile_id`` that meet by an identifier, a family name or given names at a place."""
     p = people.select(F.col("professor_id").alias("id"), "name", "other")
     q = profiles.select(F.col("profile_id").alias("id"), "name")
-    by_name = candidates(keyed_names(q, givens), keyed_names(p, givens, ("name", "other"))).select(F.col("id_b").alias("professor_id"), F.col("id_a").alias("profile_id"))
-    ways = [by_name]
+    near = candidates(keyed_names(q, givens), keyed_names(p, givens, ("name", "other"))).select(F.col("id_b").alias("professor_id"), F.col("id_a").alias("profile_id"), "distance")
+    # names alone, at institutions that surely differ, are below the floor
+    near = near.join(people.select("professor_id", F.col("at").alias("at_a")), "professor_id").join(profiles.select("profile_id", F.col("at").alias("at_b")), "profile_id")
+    ways = [near.where(comparable(F.col("at_a"), F.col("at_b"))).select("professor_id", "profile_id")]
     for c in ("orcid", "scholar"):
         ways.append(people.select("professor_id", F.col(c).alias("k")).where("k is not null").join(profiles.select("profile_id", F.col(c).alias("k")).where("k is not null"), "k").select("professor_id", "profile_id"))
     a = people.select("professor_id", _givens_at("name", "place").alias("k")).where("k is not null")
@@ -156,7 +158,7 @@ def matches(professors: DataFrame, departments: DataFrame | None, profiles: Data
     people = written(roster(professors, departments), "roster")
     givens = written(given_words(professors), "givens")
     place = F.when(F.trim("affiliation") != "", F.col("affiliation"))
-    own = profiles.dropDuplicates(["profile_id"]).select("profile_id", F.col("display_name").alias("name"), place.alias("place"), digits(F.col("orcid"), 16).alias("orcid"), digits(F.col("scholar_ref"), 11).alias("scholar"))
+    own = with_place(profiles.dropDuplicates(["profile_id"]).withColumn("place", place)).select("profile_id", "at", F.col("display_name").alias("name"), "place", digits(F.col("orcid"), 16).alias("orcid"), digits(F.col("scholar_ref"), 11).alias("scholar"))
     own = written(own, "profiles")
     pairs = candidate_pairs(people, own, givens)
     a = people.select("professor_id", *(F.col(c).alias(f"{c}_a") for c in ("name", "other", "place", "orcid", "scholar")))

@@ -99,7 +99,9 @@ def trie(words: list[str]) -> dict:
 
 def near(word: str, root: dict, most: int) -> Iterator[tuple[str, int]]:
     """Words of the trie within ``most`` edits of the word, with their distance."""
-    a = _AUTOMATA.setdefault(most, Automaton(most)) if most in _AUTOMATA else _AUTOMATA.setdefault(most, Automaton(most))
+    if most not in _AUTOMATA:
+        _AUTOMATA[most] = Automaton(most)
+    a = _AUTOMATA[most]
     bits: dict[str, int] = {}
     for i, c in enumerate(word):
         bits[c] = bits.get(c, 0) | 1 << i
@@ -118,9 +120,9 @@ def near(word: str, root: dict, most: int) -> Iterator[tuple[str, int]]:
                 stack.append((child, after, base + shift))
 
 
-def allowed(word: str) -> int:
-    """Edits allowed for a word: none below five letters, one up to seven, then two."""
-    return 0 if len(word) < SHORTEST else 1 if len(word) < 8 else 2
+def allowed(word: str, most: int = 2) -> int:
+    """Edits allowed for a word: none below five letters, one up to seven, then ``most``."""
+    return 0 if len(word) < SHORTEST else min(most, 1) if len(word) < 8 else most
 
 
 def _shards(words: DataFrame, word: str, shard: str) -> DataFrame:
@@ -129,19 +131,19 @@ def _shards(words: DataFrame, word: str, shard: str) -> DataFrame:
     return words.where(F.length(word) >= SHORTEST).select(word, F.explode(F.array(front, back)).alias(shard))
 
 
-def _join(probes: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+def _join(probes: pd.DataFrame, words: pd.DataFrame, most: int) -> pd.DataFrame:
     out: list[tuple[str, str, int]] = []
     if len(probes) and len(words):
         back = words["w_shard"].iloc[0].startswith(">")
         flip = (lambda w: w[::-1]) if back else (lambda w: w)
         root = trie([flip(w) for w in words["entry"]])
         for w in probes["word"]:
-            out += [(w, flip(v), d) for v, d in near(flip(w), root, allowed(w)) if d]
+            out += [(w, flip(v), d) for v, d in near(flip(w), root, allowed(w, most)) if d]
     return pd.DataFrame(out, columns=["probe", "word", "distance"]).astype({"distance": "int32"})
 
 
-def near_words(probes: DataFrame, words: DataFrame, limit: int = SHARD_WORDS) -> DataFrame:
-    """``probe, word, distance`` for all words (column ``word`` of both) near a probe; each pair once.
+def near_words(probes: DataFrame, words: DataFrame, most: int = 2, limit: int = SHARD_WORDS) -> DataFrame:
+    """``probe, word, distance`` for all words (column ``word`` of both) within ``most`` edits; each pair once.
 
     Both sides are made distinct first. Null and empty words match nothing.
     """
@@ -163,6 +165,6 @@ def near_words(probes: DataFrame, words: DataFrame, limit: int = SHARD_WORDS) ->
     close = (
         cut_probes.groupBy("p_shard", "p_own", "p_other")
         .cogroup(cut_words.groupBy("w_shard", "w_other", "w_own"))
-        .applyInPandas(_join, "probe string, word string, distance int")
+        .applyInPandas(lambda x, y: _join(x, y, most), "probe string, word string, distance int")
     )
     return exact.unionByName(close).groupBy("probe", "word").agg(F.min("distance").alias("distance"))
