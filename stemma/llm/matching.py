@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from stemma.llm.names import edits, given_match, institution, institution_match, name_score, readings
 from stemma.llm.people import candidates, comparable, digits, given_words, keyed_names, roster, with_place
-from stemma.session import written
+from stemma.session import spread, written
 
 #: Factor by which each partner beyond a record's first is less likely.
 RHO = 0.1
@@ -163,7 +163,7 @@ def matches(professors: DataFrame, departments: DataFrame | None, profiles: Data
     pairs = candidate_pairs(people, own, givens)
     a = people.select("professor_id", *(F.col(c).alias(f"{c}_a") for c in ("name", "other", "place", "orcid", "scholar")))
     b = own.select("profile_id", *(F.col(c).alias(f"{c}_b") for c in ("name", "place", "orcid", "scholar")))
-    rated = pairs.join(a, "professor_id").join(b, "profile_id").select(
+    rated = spread(pairs.join(a, "professor_id").join(b, "profile_id")).select(
         F.col("professor_id").alias("a"),
         F.col("profile_id").alias("b"),
         _log_odds("name_a", "other_a", "place_a", "orcid_a", "scholar_a", "name_b", "place_b", "orcid_b", "scholar_b").alias("prior"),

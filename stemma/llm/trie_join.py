@@ -1,13 +1,15 @@
 """Trie join: all pairs of words of two columns within a bounded edit distance.
 
-Words of one column (the dictionary) are sharded into tries, one by their first letters and one, of
-reversed words, by their last letters: an edit cannot touch both ends of a word of five letters or
-more, so every pair within distance one meets in one of the two. A word of the other column goes to
-its own two shards and walks through the trie with a Levenshtein automaton (swaps of neighbouring
-letters count as one edit) that leaves a branch as soon as nothing in it can be near. Shorter words
-match only themselves.
-
-Shards are cut to a bounded number of words on both sides, whatever the letters' frequencies.
+Words of one column (the dictionary) are sharded into tries by their length and their first half,
+and, reversed, by their length and their last half, two letters in the middle left out: one edit, a
+swap of neighbours included, leaves at least one of the halves as it is. A word of the other column
+goes to the shards of its own halves for every length within reach, and walks through the trie with
+a Levenshtein automaton (a swap counts as one edit) that leaves a branch as soon as nothing in it
+can be near. So all pairs within one edit are found; of those two edits apart, those whose edits lie
+in one half. Words of fewer than five letters match only themselves.
+
+Shards are cut to a bounded number of words on both sides, whatever the letters' frequencies, and
+several small ones go to one task.
 """
 
 from __future__ import annotations
@@ -15,10 +17,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PREFIX = 2
 SHORTEST = 5
 SHARD_WORDS = 20_000
 
@@ -125,20 +126,50 @@ def allowed(word: str, most: int = 2) -> int:
     return 0 if len(word) < SHORTEST else min(most, 1) if len(word) < 8 else most
 
 
-def _shards(words: DataFrame, word: str, shard: str) -> DataFrame:
-    front = F.concat(F.lit("<"), F.substring(word, 1, PREFIX))
-    back = F.concat(F.lit(">"), F.reverse(F.substring(F.col(word), -PREFIX, PREFIX)))
-    return words.where(F.length(word) >= SHORTEST).select(word, F.explode(F.array(front, back)).alias(shard))
+def _front(n: Column) -> Column:
+    return F.greatest(F.floor(n / 2) - 1, F.lit(1)).cast("int")
+
+
+def _back(n: Column) -> Column:
+    return F.greatest(n - F.floor(n / 2) - 1, F.lit(1)).cast("int")
+
+
+def _shards(words: DataFrame, word: str, shard: str, reach: int) -> DataFrame:
+    """One row a word and shard; ``reach``: how far the length of a partner may be from the own one."""
+    n = F.length(word)
+    sizes = F.filter(F.sequence(n - reach, n + reach), lambda x: x >= SHORTEST)
+    keys = F.flatten(
+        F.transform(
+            sizes,
+            lambda x: F.array(
+                F.concat(F.lit("<"), x.cast("string"), F.lit(":"), F.substring(F.col(word), F.lit(1), _front(x))),
+                F.concat(F.lit(">"), x.cast("string"), F.lit(":"), F.right(F.col(word), _back(x))),
+            ),
+        )
+    )
+    return words.where(n >= SHORTEST).select(word, F.explode(keys).alias(shard))
 
 
 def _join(probes: pd.DataFrame, words: pd.DataFrame, most: int) -> pd.DataFrame:
+    """Pairs of all shards of one task."""
     out: list[tuple[str, str, int]] = []
     if len(probes) and len(words):
-        back = words["w_shard"].iloc[0].startswith(">")
-        flip = (lambda w: w[::-1]) if back else (lambda w: w)
-        root = trie([flip(w) for w in words["entry"]])
-        for w in probes["word"]:
-            out += [(w, flip(v), d) for v, d in near(flip(w), root, allowed(w, most)) if d]
+        entries: dict[str, list[str]] = {}
+        for shard, v in zip(words["w_shard"].tolist(), words["entry"].tolist()):
+            entries.setdefault(shard, []).append(v)
+        asked: dict[str, list[str]] = {}
+        for shard, w in zip(probes["p_shard"].tolist(), probes["word"].tolist()):
+            if shard in entries:
+                asked.setdefault(shard, []).append(w)
+        for shard, own in asked.items():
+            if shard[0] == ">":
+                root = trie([v[::-1] for v in entries[shard]])
+                for w in own:
+                    out += [(w, v[::-1], d) for v, d in near(w[::-1], root, allowed(w, most)) if d]
+            else:
+                root = trie(entries[shard])
+                for w in own:
+                    out += [(w, v, d) for v, d in near(w, root, allowed(w, most)) if d]
     return pd.DataFrame(out, columns=["probe", "word", "distance"]).astype({"distance": "int32"})
 
 
@@ -150,7 +181,8 @@ def near_words(probes: DataFrame, words: DataFrame, most: int = 2, limit: int =
     p = probes.select("word").where("word <> ''").distinct()
     w = words.select(F.col("word").alias("entry")).where("entry <> ''").distinct()
     exact = p.join(w, F.col("word") == F.col("entry")).select(F.col("word").alias("probe"), F.col("entry").alias("word"), F.lit(0).alias("distance"))
-    ps, ws = _shards(p, "word", "p_shard"), _shards(w, "entry", "w_shard")
+    ps, ws = _shards(p, "word", "p_shard", most), _shards(w, "entry", "w_shard", 0)
+    tasks = 2 * int(p.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     # how many pieces each shard is cut into, on either side
     n_words = ws.groupBy(F.col("w_shard").alias("shard")).agg(F.ceil(F.count(F.lit(1)) / limit).cast("int").alias("n_words"))
     n_probes = ps.groupBy(F.col("p_shard").alias("shard_p")).agg(F.ceil(F.count(F.lit(1)) / limit).cast("int").alias("n_probes"))
@@ -158,13 +190,14 @@ def near_words(probes: DataFrame, words: DataFrame, most: int = 2, limit: int =
 
     def cut(rows: DataFrame, word: str, shard: str, own: str, others: str, names: tuple[str, str]) -> DataFrame:
         near = rows.join(pieces, F.col(shard) == F.col("shard"))
-        return near.select(shard, word, F.pmod(F.hash(word), F.col(own)).alias(names[0]), F.explode(F.sequence(F.lit(0), F.col(others) - 1)).alias(names[1]))
+        return near.select(F.pmod(F.hash(shard), F.lit(tasks)).alias(f"{shard[0]}_task"), shard, word, F.pmod(F.hash(word), F.col(own)).alias(names[0]), F.explode(F.sequence(F.lit(0), F.col(others) - 1)).alias(names[1]))
 
     cut_probes = cut(ps, "word", "p_shard", "n_probes", "n_words", ("p_own", "p_other"))
     cut_words = cut(ws, "entry", "w_shard", "n_words", "n_probes", ("w_own", "w_other"))
     close = (
-        cut_probes.groupBy("p_shard", "p_own", "p_other")
-        .cogroup(cut_words.groupBy("w_shard", "w_other", "w_own"))
+        # the rows are few bytes and much work: partitions of this number are not coalesced
+        cut_probes.repartition(tasks, "p_task", "p_own", "p_other").groupBy("p_task", "p_own", "p_other")
+        .cogroup(cut_words.repartition(tasks, "w_task", "w_other", "w_own").groupBy("w_task", "w_other", "w_own"))
         .applyInPandas(lambda x, y: _join(x, y, most), "probe string, word string, distance int")
     )
     return exact.unionByName(close).groupBy("probe", "word").agg(F.min("distance").alias("distance"))
