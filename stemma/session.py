@@ -63,3 +63,8 @@ def removed(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out to a number of partitions that is not coalesced: for few bytes that are much work."""
+    return df.repartition(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
