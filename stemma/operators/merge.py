@@ -21,11 +21,14 @@ def identity_key(doi: Column, title: Column, year: Column, record: Column, merge
     never merged; its value is its hash.
     """
     d, t = X.doi(doi), X.title_key(title)
-    arms = F.when(d.isNotNull(), F.struct(F.lit("doi").alias("kind"), d.alias("value")))
-    arms = arms.when(t.isNotNull() & year.isNotNull(), F.struct(F.lit("title_year"), F.concat(t, F.lit("|"), year.cast("string"))))
+
+    def arm(kind: str, value: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), value.alias("value"))
+
+    arms = F.when(d.isNotNull(), arm("doi", d)).when(t.isNotNull() & year.isNotNull(), arm("title_year", F.concat(t, F.lit("|"), year.cast("string"))))
     if merge_undated:
-        arms = arms.when(t.isNotNull(), F.struct(F.lit("title"), t))
-    return arms.otherwise(F.struct(F.lit("record"), F.sha2(record.cast("string"), 256)))
+        arms = arms.when(t.isNotNull(), arm("title", t))
+    return arms.otherwise(arm("record", F.sha2(record.cast("string"), 256)))
 
 
 def merge_first(df: DataFrame, keys: Sequence[str], order: Column, fields: Sequence[str], lists: Sequence[str] = ()) -> DataFrame:
