@@ -113,15 +113,15 @@ def test_every_shared_span_shares_a_fingerprint(rnd, n):
     shared = "".join(rnd.choice("abé日😀") for _ in range(n))
     a = "".join(rnd.choice("ab") for _ in range(rnd.randint(0, 90))) + shared + "x"
     b = "y" + shared + "".join(rnd.choice("ab") for _ in range(rnd.randint(0, 90)))
-    assert set(S.fingerprints(a, 20)[0]) & set(S.fingerprints(b, 20)[0])
+    assert set(S.fingerprints(a, 20)) & set(S.fingerprints(b, 20))
 
 
 def test_long_texts_are_cut_into_blocks_without_loss(monkeypatch):
     rng = np.random.default_rng(1)
     text = "".join(chr(97 + x) for x in rng.integers(0, 26, 5000))
-    whole = S.fingerprints(text, 40)[0]
+    whole = S.fingerprints(text, 40)
     monkeypatch.setattr(S, "_BLOCK", 300)
-    assert set(whole) <= set(S.fingerprints(text, 40)[0])
+    assert set(whole) <= set(S.fingerprints(text, 40))
 
 
 def test_spans_against_brute_force(spark):
@@ -144,6 +144,13 @@ def test_spans_against_brute_force(spark):
         assert extent[i].shared_chars == len(covered) and extent[i].n_chars == len(t or "")
 
 
+def test_a_repeated_passage_is_found_where_it_goes_on():
+    half, rest = "h" * 15 + "abcdefghijklmno", "pqrstuvwxyz" * 3
+    a, b = half + "!" + half + rest, "?" + half + rest
+    x, y = S.common_spans(S.code_points(a), S.code_points(b), 40)
+    assert x == [(len(half) + 1, len(half + rest))] and y == [(1, len(half + rest))]
+
+
 def test_spans_of_an_empty_table(spark):
     d = spark.createDataFrame([], "doc_id long, text string")
     classes, spans = S.shared_spans(d)
