@@ -21,14 +21,14 @@ def chained(events: DataFrame, within: Sequence[str], order: str, payload: Colum
     A chain is sequential by nature: it is one row of work for each log, and logs are independent.
     """
     events = events.select(*within, order, payload.alias("payload"))
-    log = events.groupBy(*within).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col("payload").alias("p")))).alias("log"))
+    log = events.groupBy(*within).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col("payload").alias("p")))).alias("_log"))
     fold = F.aggregate(
-        "log",
+        "_log",
         F.array(F.struct(F.lit(None).cast(dict(events.dtypes)[order]).alias("o"), F.lit(None).cast("string").alias("p"), F.lit(None).cast("string").alias("b"), F.lit(start).alias("h"))),
         lambda acc, x: F.concat(acc, F.array(F.struct(x["o"].alias("o"), x["p"].alias("p"), F.element_at(acc, -1)["h"].alias("b"), event_hash(F.element_at(acc, -1)["h"], x["p"]).alias("h")))),
     )
-    out = log.select(*within, F.explode(F.slice(fold, 2, F.greatest(F.size("log"), F.lit(1)))).alias("e"))
-    return out.select(*within, F.col("e.o").alias(order), F.col("e.p").alias("payload"), F.col("e.b").alias("previous_hash"), F.col("e.h").alias("event_hash"))
+    out = log.select(*within, F.explode(F.slice(fold, 2, F.greatest(F.size("_log"), F.lit(1)))).alias("_e"))
+    return out.select(*within, F.col("_e.o").alias(order), F.col("_e.p").alias("payload"), F.col("_e.b").alias("previous_hash"), F.col("_e.h").alias("event_hash"))
 
 
 def verified(log: DataFrame, within: Sequence[str], order: str, start: str = GENESIS) -> DataFrame:
