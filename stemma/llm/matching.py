@@ -158,7 +158,7 @@ def matches(professors: DataFrame, departments: DataFrame | None, profiles: Data
     people = written(roster(professors, departments), "roster")
     givens = written(given_words(professors), "givens")
     place = F.when(F.trim("affiliation") != "", F.col("affiliation"))
-    own = with_place(profiles.dropDuplicates(["profile_id"]).withColumn("place", place)).select("profile_id", "at", F.col("display_name").alias("name"), "place", digits(F.col("orcid"), 16).alias("orcid"), digits(F.col("scholar_ref"), 11).alias("scholar"))
+    own = with_place(profiles.select("profile_id", "display_name", "orcid", "scholar_ref", "affiliation").dropDuplicates(["profile_id"]).withColumn("place", place)).select("profile_id", "at", F.col("display_name").alias("name"), "place", digits(F.col("orcid"), 16).alias("orcid"), digits(F.col("scholar_ref"), 11).alias("scholar"))
     own = written(own, "profiles")
     pairs = candidate_pairs(people, own, givens)
     a = people.select("professor_id", *(F.col(c).alias(f"{c}_a") for c in ("name", "other", "place", "orcid", "scholar")))

@@ -61,7 +61,7 @@ def test_institutions(a, b, m):
     assert N.institution_match(a, b) == m == N.institution_match(b, a)
 
 
-PROFESSOR = "professor_id long, full_name string, first_name string, middle_name string, last_name string, institution string, department_id int, orcid string, semantic_scholar_id string, name string"
+PROFESSOR = "professor_id long, full_name string, first_name string, middle_name string, last_name string, institution string, department_id int, orcid string, semantic_scholar_id string, d_place string"
 
 
 def _professors(spark):
