@@ -68,3 +68,12 @@ def removed(spark: SparkSession, path: str) -> None:
 def spread(df: DataFrame) -> DataFrame:
     """Rows dealt out to a number of partitions that is not coalesced: for few bytes that are much work."""
     return df.repartition(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
+def fed(df: DataFrame) -> DataFrame:
+    """Rows for a step that is much work a row: dealt out if the input has fewer partitions than there are cores.
+
+    A large input has many partitions and is never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
