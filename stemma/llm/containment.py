@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stemma.session import fed
+
 HASHES = 128
 #: Items that are shipped at once; more are searched for in further blocks.
 BLOCK_ITEMS = 5000
@@ -247,4 +249,4 @@ def _searched(documents: DataFrame, chosen: tuple[tuple[int, str], ...]) -> Data
                 ["doc_id", "item_id", "held_words", "item_words"],
             )
 
-    return documents.select("doc_id", "text").where("text is not null").mapInArrow(run, "doc_id bigint, item_id bigint, held_words int, item_words int")
+    return fed(documents.select("doc_id", "text").where("text is not null")).mapInArrow(run, "doc_id bigint, item_id bigint, held_words int, item_words int")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stemma.llm.text_forms import reader_form
-from stemma.session import written
+from stemma.session import fed, written
 
 #: Bits of the largest filter: 2**27 bits are 16 MiB, the most that is ever sent to an executor.
 MAX_FILTER_BITS = 1 << 27
@@ -147,7 +147,7 @@ def possible_repeat(words: np.ndarray, spark: SparkSession):
 def keyed(papers: DataFrame, key: Column | None = None) -> DataFrame:
     """``paper_id, text, year, h``: canonical text and year of each record and their hash, kept as a table."""
     k = canonical_key(F.col("title"), F.col("publication_year")) if key is None else key
-    rows = papers.select("paper_id", k.alias("k")).select("paper_id", "k.text", "k.year")
+    rows = fed(papers.select("paper_id", "title", "publication_year")).select("paper_id", k.alias("k")).select("paper_id", "k.text", "k.year")
     return written(rows.withColumn("h", F.xxhash64("text", "year")), "keyed")
 
 
@@ -233,15 +233,18 @@ def survivors(papers: DataFrame, sources: DataFrame, groups: DataFrame) -> DataF
     """
     members = groups.where("n_copies > 1").select(F.col("paper_id").alias("member_id"), "group_id")
     ranks = sources.select(source_key(F.col("source_name")).alias("source_key"), "trust_rank").where("source_key is not null").groupBy("source_key").agg(F.min("trust_rank").alias("rank"))
-    judged = papers.select(
+    own = papers.select("paper_id", "updated_at", "doi", "abstract", "metadata_status", "source_name")
+    own = own.join(members, own.paper_id == members.member_id)
+    judged = own.select(
         "paper_id",
+        "group_id",
         "updated_at",
         whole_doi(F.col("doi")).alias("doi_ok"),
         whole_abstract(F.col("abstract")).alias("abstract_ok"),
         status_rank(F.col("metadata_status")).alias("status"),
         source_key(F.col("source_name")).alias("source_key"),
     )
-    rows = judged.join(members, judged.paper_id == members.member_id).join(ranks, "source_key", "left")
+    rows = judged.join(ranks, "source_key", "left")
 
     def best(valid: Column, priority: Column) -> Column:
         return F.max(F.when(valid, F.struct(priority.cast("bigint").alias("p"), F.col("updated_at").alias("u"), (-F.col("paper_id")).alias("i"))))

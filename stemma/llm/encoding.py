@@ -30,6 +30,8 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame
 
+from stemma.session import fed
+
 VOCABULARY = "byte_bpe_50k.tiktoken"
 FOLDER = "/opt/tokenizers"
 #: Fixed value: the pre-tokenizer's pattern of this vocabulary.
@@ -254,7 +256,7 @@ def encoded(documents: DataFrame, text: str = "text", key: str = "doc_id", path:
             yield pa.RecordBatch.from_arrays([b.column(0), ids], [key, "ids"])
 
     kind = dict(documents.dtypes)[key]
-    return documents.select(key, text).mapInArrow(run, f"{key} {kind}, ids array<int>")
+    return fed(documents.select(key, text)).mapInArrow(run, f"{key} {kind}, ids array<int>")
 
 
 def decoded(tokens: DataFrame, key: str = "doc_id", path: str | None = None) -> DataFrame:
