@@ -89,7 +89,8 @@ def candidate_pairs(people: DataFrame, profiles: DataFrame, givens: DataFrame) -
     """``professor_id, profile_id`` that meet by an identifier, a family name or given names at a place."""
     p = people.select(F.col("professor_id").alias("id"), "name", "other")
     q = profiles.select(F.col("profile_id").alias("id"), "name")
-    near = candidates(keyed_names(q, givens), keyed_names(p, givens, ("name", "other"))).select(F.col("id_b").alias("professor_id"), F.col("id_a").alias("profile_id"), "distance")
+    own, theirs = written(keyed_names(q, givens), "profile-keys"), written(keyed_names(p, givens, ("name", "other")), "professor-keys")
+    near = candidates(own, theirs).select(F.col("id_b").alias("professor_id"), F.col("id_a").alias("profile_id"), "distance")
     # names alone, at institutions that surely differ, are below the floor
     near = near.join(people.select("professor_id", F.col("at").alias("at_a")), "professor_id").join(profiles.select("profile_id", F.col("at").alias("at_b")), "profile_id")
     ways = [near.where(comparable(F.col("at_a"), F.col("at_b"))).select("professor_id", "profile_id")]
