@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,19 +18,31 @@ def event_hash(previous: Column, payload: Column) -> Column:
 
 
 def chained(events: DataFrame, within: Sequence[str], order: str, payload: Column, start: str = GENESIS) -> DataFrame:
-    """``within, order, payload, previous_hash, event_hash``: each log's chain, as a fold over its events in order.
+    """``within, order, payload, previous_hash, event_hash``: each log's chain over its events in order.
 
-    A chain is sequential by nature: it is one row of work for each log, and logs are independent.
+    A chain is sequential by nature, but logs are independent: a log's events come to one task in
+    order and are folded as they pass, so that no log, however long, is held in memory. An event
+    with a null payload has no hash, and does not move the chain on.
     """
-    events = events.select(*within, order, payload.alias("payload"))
-    log = events.groupBy(*within).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col("payload").alias("p")))).alias("_log"))
-    fold = F.aggregate(
-        "_log",
-        F.array(F.struct(F.lit(None).cast(dict(events.dtypes)[order]).alias("o"), F.lit(None).cast("string").alias("p"), F.lit(None).cast("string").alias("b"), F.lit(start).alias("h"))),
-        lambda acc, x: F.concat(acc, F.array(F.struct(x["o"].alias("o"), x["p"].alias("p"), F.element_at(acc, -1)["h"].alias("b"), event_hash(F.element_at(acc, -1)["h"], x["p"]).alias("h")))),
-    )
-    out = log.select(*within, F.explode(F.slice(fold, 2, F.greatest(F.size("_log"), F.lit(1)))).alias("_e"))
-    return out.select(*within, F.col("_e.o").alias(order), F.col("_e.p").alias("payload"), F.col("_e.b").alias("previous_hash"), F.col("_e.h").alias("event_hash"))
+    rows = events.select(*within, order, payload.cast("string").alias("payload"))
+    n = len(within)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        log, last = None, start
+        for b in batches:
+            before, own = [], []
+            for *key, p in zip(*(b.column(i).to_pylist() for i in (*range(n), n + 1))):
+                if key != log:
+                    log, last = key, start
+                before.append(last)
+                h = None if p is None else hashlib.sha256(f"{last}|{p}".encode()).hexdigest()
+                own.append(h)
+                last = h or last
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(before, pa.string()), pa.array(own, pa.string())], [*b.schema.names, "previous_hash", "event_hash"])
+
+    schema = ", ".join(f"`{c}` {kind}" for c, kind in rows.dtypes)
+    ordered = rows.repartition(*within).sortWithinPartitions(*within, order)
+    return ordered.mapInArrow(fold, f"{schema}, previous_hash string, event_hash string")
 
 
 def verified(log: DataFrame, within: Sequence[str], order: str, start: str = GENESIS) -> DataFrame:
