@@ -19,8 +19,6 @@ from stemma.session import spread, written
 #: Least name score with the same institution, and with an absent one.
 SAME_PLACE = 0.5
 NO_PLACE = 0.69
-#: Edits between an author's and a professor's family name; rows of professors are compared with up to two.
-AUTHOR_EDITS = 1
 
 _KEYS = T.ArrayType(T.StructType([T.StructField("word", T.StringType()), T.StructField("sure", T.BooleanType())]))
 
@@ -185,7 +183,7 @@ def author_links(professors: DataFrame, departments: DataFrame | None, authorshi
     rows = authorships.where("professor_id is null and author_name_as_published is not null").select("authorship_id", F.col("author_name_as_published").alias("name"), place.alias("place")).dropDuplicates(["authorship_id"])
     rows = written(rows.withColumn("id", F.xxhash64("name", "place")), "unresolved")
     spelled = written(with_place(rows.groupBy("id").agg(F.min("name").alias("name"), F.min("place").alias("place"))), "spelled")
-    pairs = candidates(written(keyed_names(spelled, givens), "author-keys"), keys, AUTHOR_EDITS)
+    pairs = candidates(written(keyed_names(spelled, givens), "author-keys"), keys)
     p = people.select("professor_id", F.col("name").alias("p_name"), F.col("other").alias("p_other"), F.col("place").alias("p_place"), F.col("at").alias("p_at"))
     both = spread(pairs.join(spelled, pairs.id_a == spelled.id).join(p, pairs.id_b == p.professor_id).where(comparable(F.col("at"), F.col("p_at"))))
     rated = both.select("id", "professor_id", _name_score("name", "p_name", "p_other").alias("score"), _place_match("place", "p_place").alias("place_match"))

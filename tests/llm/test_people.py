@@ -87,6 +87,13 @@ def test_author_links(spark):
     assert P.author_links(_professors(spark).limit(0), departments, a).count() == 0
 
 
+def test_author_links_two_edits_apart_at_one_place(spark):
+    rows = [(1, "Farah di Walanński", "Farah", None, "di Walanński", "Tamolar Polytechnic", None, None, None, None)]
+    authors = [(1, None, "DIWALANŃSKI, Farah", "Tamolar Polytechnic"), (2, None, "DIWALANŃSKI, Farah", None), (3, None, "DIWALANŃSKI, Farah", "Moor Polytechnic")]
+    a = spark.createDataFrame(authors, "authorship_id long, professor_id long, author_name_as_published string, institution string")
+    assert {tuple(r) for r in P.author_links(spark.createDataFrame(rows, PROFESSOR), None, a).collect()} == {("authorship", 1, 1)}
+
+
 def _exact(pairs, rho):
     """Marginals by adding up all subsets of the pairs."""
     total, own = 0.0, [0.0] * len(pairs)
