@@ -1,12 +1,15 @@
 """Trie join: all pairs of words of two columns within a bounded edit distance.
 
-Words of one column (the dictionary) are sharded into tries by their length and their first half,
-and, reversed, by their length and their last half, two letters in the middle left out: one edit, a
-swap of neighbours included, leaves at least one of the halves as it is. A word of the other column
-goes to the shards of its own halves for every length within reach, and walks through the trie with
-a Levenshtein automaton (a swap counts as one edit) that leaves a branch as soon as nothing in it
-can be near. So all pairs within one edit are found; of those two edits apart, those whose edits lie
-in one half. Words of fewer than five letters match only themselves.
+Words of one column (the dictionary) are sharded into tries by their length and a part of the word
+that the edits leave as it is. For one edit these are the first half and, reversed, the last half,
+two letters in the middle left out: one edit, a swap of neighbours included, leaves at least one of
+them. For two edits these are three pieces with one letter left out between two of them, so that no
+swap reaches into two pieces and two edits leave at least one. A word of the other column goes to the
+shards of its own parts for every length within reach (the middle piece also one letter to the left
+and right, since the edit before it may move it), and walks through the trie with a Levenshtein
+automaton (a swap counts as one edit) that leaves a branch as soon as nothing in it can be near. So
+all pairs within the edits allowed for the word are found. Words of fewer than five letters match
+only themselves.
 
 Shards are cut to a bounded number of words on both sides, whatever the letters' frequencies, and
 several small ones go to one task.
@@ -21,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SHORTEST = 5
+#: Letters from which a word may be two edits from another.
+TWO_EDITS = 7
 SHARD_WORDS = 20_000
 
 
@@ -122,8 +127,8 @@ def near(word: str, root: dict, most: int) -> Iterator[tuple[str, int]]:
 
 
 def allowed(word: str, most: int = 2) -> int:
-    """Edits allowed for a word: none below five letters, one up to seven, then ``most``."""
-    return 0 if len(word) < SHORTEST else min(most, 1) if len(word) < 8 else most
+    """Edits allowed for a word: none below five letters, one below seven, then ``most``."""
+    return 0 if len(word) < SHORTEST else min(most, 1) if len(word) < TWO_EDITS else most
 
 
 def _front(n: Column) -> Column:
@@ -134,20 +139,49 @@ def _back(n: Column) -> Column:
     return F.greatest(n - F.floor(n / 2) - 1, F.lit(1)).cast("int")
 
 
-def _shards(words: DataFrame, word: str, shard: str, reach: int) -> DataFrame:
-    """One row a word and shard; ``reach``: how far the length of a partner may be from the own one."""
+def _outer(n: Column) -> Column:
+    """Letters of the first and of the last of three pieces; the middle one has the rest but two."""
+    return F.floor((n - 1) / 3).cast("int")
+
+
+def _key(side: str, size: Column, part: Column) -> Column:
+    return F.concat(F.lit(side), size.cast("string"), F.lit(":"), part)
+
+
+def _half_keys(word: Column, sizes: Column) -> Column:
+    """Shards of the halves for dictionary words of these lengths."""
+    return F.flatten(F.transform(sizes, lambda x: F.array(_key("<", x, F.substring(word, F.lit(1), _front(x))), _key(">", x, F.right(word, _back(x))))))
+
+
+def _piece_keys(word: Column, sizes: Column, moves: tuple[int, ...]) -> Column:
+    """Shards of the three pieces for dictionary words of these lengths.
+
+    The outer pieces stand at the word's ends. The middle one is needed if either side of it has one
+    edit: the first one moves it by one of ``moves``, and both account for the difference of the lengths.
+    """
     n = F.length(word)
-    sizes = F.filter(F.sequence(n - reach, n + reach), lambda x: x >= SHORTEST)
-    keys = F.flatten(
-        F.transform(
-            sizes,
-            lambda x: F.array(
-                F.concat(F.lit("<"), x.cast("string"), F.lit(":"), F.substring(F.col(word), F.lit(1), _front(x))),
-                F.concat(F.lit(">"), x.cast("string"), F.lit(":"), F.right(F.col(word), _back(x))),
-            ),
-        )
-    )
-    return words.where(n >= SHORTEST).select(word, F.explode(keys).alias(shard))
+
+    def keys(x: Column) -> Column:
+        outer = _outer(x)
+        shifts = F.filter(F.array(*(F.lit(s) for s in moves)), lambda s: F.abs(n - x - s) <= 1)
+        middle = F.transform(shifts, lambda s: _key("|", x, F.substring(word, outer + 2 + s, x - 2 * outer - 2)))
+        return F.concat(F.array(_key("[", x, F.substring(word, F.lit(1), outer)), _key("]", x, F.right(word, outer))), middle)
+
+    return F.flatten(F.transform(sizes, keys))
+
+
+def _shards(words: DataFrame, word: str, shard: str, reach: int, most: int) -> DataFrame:
+    """One row a word and shard; ``reach``: how far the length of a partner may be from the own one, 0 for the dictionary."""
+    w, n = F.col(word), F.length(word)
+    sizes = lambda k: F.filter(F.sequence(n - k, n + k), lambda x: x >= SHORTEST)
+    if most < 2:
+        keys = _half_keys(w, sizes(min(reach, 1)))
+    elif reach:
+        keys = F.when(n < TWO_EDITS, _half_keys(w, sizes(1))).otherwise(_piece_keys(w, sizes(reach), (-1, 0, 1)))
+    else:
+        # words that allow one edit only reach up to TWO_EDITS letters
+        keys = F.concat(F.when(n <= TWO_EDITS, _half_keys(w, sizes(0))).otherwise(F.array().cast("array<string>")), _piece_keys(w, sizes(0), (0,)))
+    return words.where(n >= SHORTEST).select(word, F.explode(F.array_distinct(keys)).alias(shard))
 
 
 def _join(probes: pd.DataFrame, words: pd.DataFrame, most: int) -> pd.DataFrame:
@@ -162,7 +196,7 @@ def _join(probes: pd.DataFrame, words: pd.DataFrame, most: int) -> pd.DataFrame:
             if shard in entries:
                 asked.setdefault(shard, []).append(w)
         for shard, own in asked.items():
-            if shard[0] == ">":
+            if shard[0] in ">]":
                 root = trie([v[::-1] for v in entries[shard]])
                 for w in own:
                     out += [(w, v[::-1], d) for v, d in near(w[::-1], root, allowed(w, most)) if d]
@@ -174,14 +208,15 @@ def _join(probes: pd.DataFrame, words: pd.DataFrame, most: int) -> pd.DataFrame:
 
 
 def near_words(probes: DataFrame, words: DataFrame, most: int = 2, limit: int = SHARD_WORDS) -> DataFrame:
-    """``probe, word, distance`` for all words (column ``word`` of both) within ``most`` edits; each pair once.
+    """``probe, word, distance`` for all words (column ``word`` of both) within ``most`` edits (at most two), or
+    as many as are ``allowed`` for the probe; each pair once.
 
     Both sides are made distinct first. Null and empty words match nothing.
     """
     p = probes.select("word").where("word <> ''").distinct()
     w = words.select(F.col("word").alias("entry")).where("entry <> ''").distinct()
     exact = p.join(w, F.col("word") == F.col("entry")).select(F.col("word").alias("probe"), F.col("entry").alias("word"), F.lit(0).alias("distance"))
-    ps, ws = _shards(p, "word", "p_shard", most), _shards(w, "entry", "w_shard", 0)
+    ps, ws = _shards(p, "word", "p_shard", most, most), _shards(w, "entry", "w_shard", 0, most)
     tasks = 2 * int(p.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     # how many pieces each shard is cut into, on either side
     n_words = ws.groupBy(F.col("w_shard").alias("shard")).agg(F.ceil(F.count(F.lit(1)) / limit).cast("int").alias("n_words"))

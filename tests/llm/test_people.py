@@ -32,6 +32,23 @@ def test_near_words_against_brute_force(spark):
     assert J.near_words(df.limit(0), df).count() == 0
 
 
+def test_near_words_within_two_edits_against_brute_force(spark):
+    random.seed(4)
+    w = ["".join(random.choice("ab") for _ in range(random.randint(4, 11))) for _ in range(80)]
+    for _ in range(150):  # long words with an edit, or a swap, anywhere
+        x = "".join(random.choice("abcdefghij") for _ in range(random.randint(7, 14)))
+        y = x
+        for _ in range(2):
+            i = random.randrange(len(y) - 1)
+            y = random.choice([y[:i] + y[i + 1 :], y[:i] + "k" + y[i:], y[:i] + "k" + y[i + 1 :], y[:i] + y[i + 1] + y[i] + y[i + 2 :], y + "k"])
+        w += [x, y]
+    df = spark.createDataFrame([(x,) for x in w], "word string")
+    want = {(a, b): d for a in set(w) for b in set(w) for d in [N.edits(a, b, 2)] if d == 0 or len(b) > 4 and d <= (0 if len(a) < 5 else 1 if len(a) < 7 else 2)}
+    for limit in (20_000, 3):
+        got = {(r.probe, r.word): r.distance for r in J.near_words(df, df, 2, limit).collect()}
+        assert got == want
+
+
 @pytest.mark.parametrize("other", ["Ann Marie Stoneham", "Stoneham, Ann M.", "A. M. Stoneham", "STONEHAM Ann", "Stoneham AM", "Dr. Ann Stoneham, PhD", "ann stoneham", "Ann Stonehma", "Stoneham, A.", "Ann Stonham", "Αnn Stoneham"])
 def test_spellings_of_one_name(other):
     assert N.name_score(other, "Ann Marie Stoneham") >= 0.69
