@@ -3,6 +3,8 @@ depth (pointers) or with the depth (trees), never by walking on the driver."""
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,7 +63,7 @@ def single_root(chased: DataFrame, sources: DataFrame, node: str, source: str) -
     return j.groupBy(source).agg(F.min("root").alias("root"), (F.min("root") != F.max("root")).alias("ambiguous"))
 
 
-def tree(rows: DataFrame, node: str, parent: str, label: str, most: int = 64) -> DataFrame:
+def tree(rows: DataFrame, node: str, parent: str, label: str) -> DataFrame:
     """``node, depth, path, place`` in pre-order: children of a node by label.
 
     A node whose parent is null or not in the table is a root. Nodes on cycles, which no root
@@ -74,7 +76,7 @@ def tree(rows: DataFrame, node: str, parent: str, label: str, most: int = 64) ->
     marked = written(marked.select("n", "p2", "l", "s"), "tree")
     level = marked.where("p2 is null").select("n", F.lit(0).alias("depth"), F.col("l").alias("path"), F.col("s").alias("key"))
     out = level = written(level, "level")
-    for d in range(1, most):
+    for d in itertools.count(1):  # cycles are never reached, so a level is empty in the end
         up = level.select(F.col("n").alias("u"), F.col("path").alias("u_path"), F.col("key").alias("u_key"))
         level = marked.join(up, F.col("p2") == F.col("u")).select("n", F.lit(d).alias("depth"), F.concat("u_path", F.lit(" / "), "l").alias("path"), F.concat("u_key", F.lit("."), "s").alias("key"))
         level = written(level, "level")

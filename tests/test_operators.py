@@ -166,6 +166,12 @@ def test_trees_and_names(spark):
     assert t["a"] == ("d", 3) and t["x"][1] == 8
 
 
+def test_tree_deeper_than_64_levels(spark):
+    df = spark.createDataFrame([(n, n - 1 if n else None, "x") for n in range(67)], "n int, p int, l string")
+    got = [(r.n, r.depth) for r in G.tree(df, "n", "p", "l").select("n", "depth").collect()]
+    assert sorted(got) == [(n, n) for n in range(67)]
+
+
 def test_wiki(spark):
     pages = spark.createDataFrame([("A", "[[B]] [[Z]]", datetime(2024, 1, 1)), ("B", "x\n" * 300, datetime(2020, 1, 1))], "page string, text string, updated timestamp")
     assert {(r.page, r.issue) for r in G.wiki_report(pages, "2023-01-01").collect()} == {("A", "broken_link"), ("A", "orphan"), ("B", "stale"), ("B", "long")}
