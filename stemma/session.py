@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -27,24 +28,31 @@ def get_spark(app: str = "stemma", master: str | None = None, **conf: str) -> Sp
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``).
+    """The cluster's shared folder (``spark.checkpoint.dir``), which every executor must reach.
 
-    Only a session that names none, as in tests, gets a local folder of its own.
+    On a cluster a session that names none gets an error: a folder of one machine would lose rows.
+    A ``local`` master, whose executor is this very process, gets a folder of its own.
     """
-    named = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
-    if named:
-        return named.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    own = tempfile.mkdtemp(prefix="stemma-checkpoint-")
-    spark.sparkContext.setCheckpointDir(own)
-    return own
+    context = spark.sparkContext
+    named = spark.conf.get(CHECKPOINT_KEY, None) or context.getConf().get(CHECKPOINT_KEY) or context.getCheckpointDir()
+    if not named:
+        if not one_process(context.master):
+            raise ValueError(f"{CHECKPOINT_KEY} is not set: name a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="stemma-checkpoint-")
+        context.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
+def one_process(master: str) -> bool:
+    """Whether driver and executor are one process, so that every folder is shared."""
+    return master == "local" or master.startswith("local[")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/stemma-{label}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder. What is still there when the driver's Python ends is deleted then."""
+    path = f"{shared_dir(spark)}/stemma-{label}-{uuid.uuid4().hex}"
+    _left.setdefault(spark, set()).add(path)
+    return path
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -63,6 +71,47 @@ def removed(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    _left.get(spark, set()).discard(path)
+
+
+class Scratch:
+    """Tables of one operator. On leaving the block all of them are deleted but those kept.
+
+    An operator writes its result last, and keeps only that.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def written(self, df: DataFrame, label: str) -> DataFrame:
+        before = set(_left.get(self.spark, ()))
+        out = written(df, label)
+        self.paths += _left[self.spark] - before
+        return out
+
+    def __exit__(self, *_: object) -> None:
+        for p in self.paths:
+            removed(self.spark, p)
+        self.paths = []
+
+
+_left: dict[SparkSession, set[str]] = {}
+
+
+@atexit.register
+def released() -> None:
+    """Delete all tables that sessions still have in their shared folders."""
+    for spark, paths in _left.items():
+        for p in list(paths):
+            try:
+                removed(spark, p)
+            except Exception:  # the session has ended  # noqa: BLE001
+                break
+    _left.clear()
 
 
 def spread(df: DataFrame) -> DataFrame:
