@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stemma.llm.names import edits, given_match, institution, institution_match, name_score, readings
-from stemma.llm.people import candidates, comparable, digits, given_words, keyed_names, roster, with_place
-from stemma.session import spread, written
+from stemma.llm.people import Meeting, digits, given_words, name_id, names_of, roster, spelled, with_place
+from stemma.session import Scratch, spread, written
 
 #: Factor by which each partner beyond a record's first is less likely.
 RHO = 0.1
@@ -85,20 +85,23 @@ def _givens_at(names: pd.Series, places: pd.Series) -> pd.Series:
     return pd.Series([key(n, p) for n, p in zip(names, places)])
 
 
-def candidate_pairs(people: DataFrame, profiles: DataFrame, givens: DataFrame) -> DataFrame:
-    """``professor_id, profile_id`` that meet by an identifier, a family name or given names at a place."""
-    p = people.select(F.col("professor_id").alias("id"), "name", "other")
-    q = profiles.select(F.col("profile_id").alias("id"), "name")
-    own, theirs = written(keyed_names(q, givens), "profile-keys"), written(keyed_names(p, givens, ("name", "other")), "professor-keys")
-    near = candidates(own, theirs).select(F.col("id_b").alias("professor_id"), F.col("id_a").alias("profile_id"), "distance")
-    # names alone, at institutions that surely differ, are below the floor
-    near = near.join(people.select("professor_id", F.col("at").alias("at_a")), "professor_id").join(profiles.select("profile_id", F.col("at").alias("at_b")), "profile_id")
-    ways = [near.where(comparable(F.col("at_a"), F.col("at_b"))).select("professor_id", "profile_id")]
+def candidate_pairs(tables: Scratch, people: DataFrame, profiles: DataFrame, givens: DataFrame) -> DataFrame:
+    """``professor_id, profile_id`` that meet by an identifier, by name and institution, or by the whole name where one has no institution."""
+    names, own_names = tables.written(names_of(people), "names"), tables.written(names_of(profiles), "profile-names")
+    keys, own_keys = tables.written(spelled(names, givens), "professor-keys"), tables.written(spelled(own_names, givens), "profile-keys")
+    a = profiles.select(F.col("profile_id").alias("id"), "name_id", "at")
+    b = people.select(F.col("professor_id").alias("id"), "name_id", "at")
+    met = Meeting(tables, a, b, own_keys, keys)
+    ways = [met.at_place().select(F.col("id_b").alias("professor_id"), F.col("id_a").alias("profile_id"))]
+    x = a.select(F.col("id").alias("profile_id"), F.col("name_id").alias("name_a"), F.col("at.place").isNull().alias("lost_a"))
+    y = b.select(F.col("id").alias("professor_id"), F.col("name_id").alias("name_b"), F.col("at.place").isNull().alias("lost_b"))
+    anywhere = tables.written(met.anywhere(), "anywhere")
+    ways.append(anywhere.join(x, "name_a").join(y, "name_b").where("lost_a or lost_b").select("professor_id", "profile_id"))
     for c in ("orcid", "scholar"):
         ways.append(people.select("professor_id", F.col(c).alias("k")).where("k is not null").join(profiles.select("profile_id", F.col(c).alias("k")).where("k is not null"), "k").select("professor_id", "profile_id"))
-    a = people.select("professor_id", _givens_at("name", "place").alias("k")).where("k is not null")
-    b = profiles.select("profile_id", _givens_at("name", "place").alias("k")).where("k is not null")
-    ways.append(a.join(b, "k").select("professor_id", "profile_id"))
+    p = people.select("professor_id", _givens_at("name", "place").alias("k")).where("k is not null")
+    q = profiles.select("profile_id", _givens_at("name", "place").alias("k")).where("k is not null")
+    ways.append(p.join(q, "k").select("professor_id", "profile_id"))
     return reduce(DataFrame.unionByName, ways).distinct()
 
 
@@ -127,25 +130,39 @@ def _round(state: DataFrame, rho: float, damping: float) -> DataFrame:
     return state
 
 
-def marginals(pairs: DataFrame, rho: float = RHO, rounds: int = 16, tolerance: float = 0.01, damping: float = 0.2) -> DataFrame:
+class Unsettled(RuntimeError):
+    """Messages still move after the last round allowed."""
+
+
+def marginals(pairs: DataFrame, rho: float = RHO, rounds: int = 400, tolerance: float = 0.01, damping: float = 0.2, tables: Scratch | None = None) -> DataFrame:
     """``a, b, confidence`` from ``a, b, prior`` (log odds), one row a pair.
 
     Pairs whose records have no other pair need no messages. The others exchange messages, two
-    rounds between two tables in the shared folder, until none moves by ``tolerance``.
+    rounds between two tables in the shared folder, until none moves by ``tolerance``. Every 32 rounds
+    the damping grows by half of what is left to 1, which ends swings. ``Unsettled`` is raised, with
+    the greatest change left, if ``rounds`` are not enough; no unsettled confidence is ever returned.
     """
+    write = tables.written if tables else written
     na = pairs.groupBy(F.col("a").alias("na")).agg(F.count(F.lit(1)).alias("da"))
     nb = pairs.groupBy(F.col("b").alias("nb")).agg(F.count(F.lit(1)).alias("db"))
-    seen = written(pairs.join(na, F.col("a") == F.col("na")).join(nb, F.col("b") == F.col("nb")).select("a", "b", "prior", (F.greatest("da", "db") > 1).alias("open")), "pairs")
+    seen = write(pairs.join(na, F.col("a") == F.col("na")).join(nb, F.col("b") == F.col("nb")).select("a", "b", "prior", (F.greatest("da", "db") > 1).alias("open")), "pairs")
     sigmoid = lambda c: 1 / (1 + F.exp(-c))
     settled = seen.where("not open").select("a", "b", sigmoid(F.col("prior")).alias("confidence"))
     zero = F.lit(0.0)
     state = seen.where("open").select("a", "b", "prior", zero.alias("from_a"), zero.alias("from_b"), zero.alias("moved"))
-    for _ in range(0, rounds, 2):
+    top, done = None, 0
+    while True:
         state = _round(state, rho, damping)
-        state = written(_round(state.withColumn("moved", zero), rho, damping), "messages")
+        state = write(_round(state.withColumn("moved", zero), rho, damping), "messages")
+        done += 2
         top = state.agg(F.max("moved")).first()[0]
-        if top is None or top < tolerance:
+        # a damped message moves by less than what it is off
+        if top is None or top < tolerance * (1 - damping):
             break
+        if done >= rounds:
+            raise Unsettled(f"after {done} rounds a message still moves by {top:.3g}")
+        if done % 32 == 0:
+            damping += (1 - damping) / 2
         state = state.withColumn("moved", zero)
     return settled.unionByName(state.select("a", "b", sigmoid(F.col("prior") + F.col("from_a") + F.col("from_b")).alias("confidence")))
 
@@ -156,18 +173,21 @@ def matches(professors: DataFrame, departments: DataFrame | None, profiles: Data
     Rows without any attribute are in no pair. Identifiers are compared in one notation, and
     placeholders are none. A row delivered twice under one id counts once.
     """
-    people = written(roster(professors, departments), "roster")
-    givens = written(given_words(professors), "givens")
-    place = F.when(F.trim("affiliation") != "", F.col("affiliation"))
-    own = with_place(profiles.select("profile_id", "display_name", "orcid", "scholar_ref", "affiliation").dropDuplicates(["profile_id"]).withColumn("place", place)).select("profile_id", "at", F.col("display_name").alias("name"), "place", digits(F.col("orcid"), 16).alias("orcid"), digits(F.col("scholar_ref"), 11).alias("scholar"))
-    own = written(own, "profiles")
-    pairs = candidate_pairs(people, own, givens)
-    a = people.select("professor_id", *(F.col(c).alias(f"{c}_a") for c in ("name", "other", "place", "orcid", "scholar")))
-    b = own.select("profile_id", *(F.col(c).alias(f"{c}_b") for c in ("name", "place", "orcid", "scholar")))
-    rated = spread(pairs.join(a, "professor_id").join(b, "profile_id")).select(
-        F.col("professor_id").alias("a"),
-        F.col("profile_id").alias("b"),
-        _log_odds("name_a", "other_a", "place_a", "orcid_a", "scholar_a", "name_b", "place_b", "orcid_b", "scholar_b").alias("prior"),
-    )
-    open_ = written(rated.where(F.col("prior") >= FLOOR), "rated")
-    return marginals(open_).select(F.col("a").alias("professor_id"), F.col("b").alias("profile_id"), "confidence")
+    with Scratch(professors.sparkSession) as tables:
+        people = tables.written(roster(professors, departments).withColumn("name_id", name_id(F.col("name"), F.col("other"))), "roster")
+        givens = tables.written(given_words(professors), "givens")
+        place = F.when(F.trim("affiliation") != "", F.col("affiliation"))
+        own = with_place(profiles.select("profile_id", "display_name", "orcid", "scholar_ref", "affiliation").dropDuplicates(["profile_id"]).withColumn("place", place))
+        own = own.select("profile_id", "at", F.col("display_name").alias("name"), F.lit(None).cast("string").alias("other"), "place", digits(F.col("orcid"), 16).alias("orcid"), digits(F.col("scholar_ref"), 11).alias("scholar"))
+        own = tables.written(own.withColumn("name_id", name_id(F.col("name"), F.col("other"))), "profiles")
+        pairs = candidate_pairs(tables, people, own, givens)
+        a = people.select("professor_id", *(F.col(c).alias(f"{c}_a") for c in ("name", "other", "place", "orcid", "scholar")))
+        b = own.select("profile_id", *(F.col(c).alias(f"{c}_b") for c in ("name", "place", "orcid", "scholar")))
+        rated = spread(pairs.join(a, "professor_id").join(b, "profile_id")).select(
+            F.col("professor_id").alias("a"),
+            F.col("profile_id").alias("b"),
+            _log_odds("name_a", "other_a", "place_a", "orcid_a", "scholar_a", "name_b", "place_b", "orcid_b", "scholar_b").alias("prior"),
+        )
+        open_ = tables.written(rated.where(F.col("prior") >= FLOOR), "rated")
+        found = marginals(open_, tables=tables).select(F.col("a").alias("professor_id"), F.col("b").alias("profile_id"), "confidence")
+        return written(found, "matches")

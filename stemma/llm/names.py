@@ -13,6 +13,9 @@ import unicodedata
 
 from stemma.llm.text_forms import reader_form
 
+#: Entries of each cache of a worker: a few MB, however long the worker lives.
+CACHED = 8192
+
 # Short forms of given names, each with the names it stands for.
 NICKNAMES = {
     "abby": "abigail", "alex": "alexander alexandra", "sasha": "alexander", "sandy": "alexander", "lex": "alexander", "andy": "andrew", "drew": "andrew",
@@ -40,7 +43,7 @@ _APOSTROPHE = re.compile(r"[’'`´.]")
 _MARKS = re.compile(r"[’'`´.\-‐‑–]")
 
 
-@functools.lru_cache(maxsize=200_000)
+@functools.lru_cache(maxsize=CACHED)
 def fold(s: str) -> str:
     """Small Latin letters without marks."""
     if not s.isascii():
@@ -66,7 +69,7 @@ def _split_initials(raw: str) -> list[str]:
 Reading = tuple[str, tuple[str, ...]]
 
 
-@functools.lru_cache(maxsize=200_000)
+@functools.lru_cache(maxsize=CACHED)
 def readings(name: str | None) -> tuple[tuple[Reading, ...], bool]:
     """``((family, givens), ...)`` of a name, and whether the name itself says which part is the family name."""
     if not name or not name.strip():
@@ -194,19 +197,33 @@ def _families(a: str, b: str) -> float:
     if a == b:
         return 1.0
     short = min(len(a), len(b))
-    d = edits(a, b, 2) if short >= 5 else 3
-    return 0.85 if d == 1 else 0.6 if d == 2 and short >= 7 else 0.0
+    d = edits(a, b, 2) if short >= 3 else 3
+    if d == 1:
+        # in a short name one letter is much: it takes a full given name at the same institution
+        return 0.85 if short >= 5 else 0.55
+    return 0.6 if d == 2 and short >= 7 else 0.0
+
 
+def name_keys(name: str | None) -> list[tuple[str, str, bool]]:
+    """``(family, given, sure)``: what a name may be found by.
 
-def family_keys(name: str | None) -> list[tuple[str, bool]]:
-    """Family names a name may have, without hyphens, and single parts of those of two; each with whether the name is clear about it."""
+    Family names are without hyphens, of those of two parts also the single ones; with each the first
+    given name it would have ("" if none), and whether the name itself says which part is which.
+    """
     found, sure = readings(name)
     out = {}
-    for family, _ in found:
+    for family, givens in found:
         for key in {whole(family), *(x for x in family.split("-") if len(x) > 4 and "+" not in family)}:
             if len(key) > 1:
-                out[key] = sure
-    return list(out.items())
+                out[key, givens[0] if givens else ""] = sure
+    return [(family, given, s) for (family, given), s in out.items()]
+
+
+def first_letters(given: str) -> list[str]:
+    """Letters that a given name may be abbreviated to, by itself or by a short form of it."""
+    if not given:
+        return []
+    return sorted({given[0], *(x[0] for x in NICKNAMES.get(given, "").split()), *(k[0] for k in _SHORT.get(given, {}))}) if len(given) > 1 else [given]
 
 
 def _compare(x: Reading, y: Reading) -> float:
@@ -236,7 +253,6 @@ def _compare(x: Reading, y: Reading) -> float:
     return score
 
 
-@functools.lru_cache(maxsize=200_000)
 def name_score(a: str | None, b: str | None) -> float:
     """How well two names agree, 0 to 1, by their best readings. Below 0.5 they contradict each other."""
     ra, rb = readings(a)[0], readings(b)[0]
@@ -251,7 +267,7 @@ _DEPARTMENT = re.compile(r"^\s*(dept|department|school|faculty|division|section|
 _BRACKETS = re.compile(r"\([^)]*\)")
 
 
-@functools.lru_cache(maxsize=200_000)
+@functools.lru_cache(maxsize=CACHED)
 def institution(s: str | None) -> tuple[str, str] | None:
     """``(place, kind)``; null for an absent one. ``kind`` may be open (``?``)."""
     if not s or not s.strip():
@@ -272,7 +288,7 @@ def _near(w: list[str], *words: str) -> bool:
     return any(x == y or len(y) > 4 and abs(len(x) - len(y)) < 2 and edits(x, y, 1) <= 1 for x in w for y in words)
 
 
-@functools.lru_cache(maxsize=50_000)
+@functools.lru_cache(maxsize=CACHED)
 def _generic_typo(x: str) -> bool:
     return len(x) > 5 and any(len(y) > 5 and abs(len(x) - len(y)) < 2 and edits(x, y, 1) <= 1 for y in GENERIC)
 
@@ -300,7 +316,7 @@ def _kind(w: list[str]) -> str:
     return "?"
 
 
-@functools.lru_cache(maxsize=200_000)
+@functools.lru_cache(maxsize=CACHED)
 def institution_match(a: str | None, b: str | None) -> float:
     """1 the same, 0.8 the same with a typo, 0.5 unknown (one is absent), 0 different."""
     x, y = institution(a), institution(b)

@@ -1,8 +1,11 @@
 """Variant spellings of people's names: links between the rows that mean one person.
 
-Family names of all readings of all names go through the trie join; the rows that meet are compared
-name by name (token order, initials, short forms, typos) and by institution. A different institution
-separates people of the same name; an absent one says nothing.
+Family names of all readings of all names go through the trie join. Rows meet at one institution
+(whose spellings go through the trie join too) by a family name, and, where one of them names no
+institution, by a family name and a given name, an initial or a short form of it. So rows of a common
+family name are never multiplied out. Each distinct pair of spellings is compared once (token order,
+initials, short forms, typos). A different institution separates people of the same name; an absent
+one says nothing.
 """
 
 from __future__ import annotations
@@ -12,20 +15,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stemma.llm.names import whole, edits, family_keys, fold, institution, institution_match, name_score, readings
+from stemma.llm.names import NICKNAMES, edits, first_letters, fold, institution, name_keys, name_score, readings, whole
 from stemma.llm.trie_join import near_words
-from stemma.session import spread, written
+from stemma.session import Scratch, spread, written
 
 #: Least name score with the same institution, and with an absent one.
 SAME_PLACE = 0.5
 NO_PLACE = 0.69
+#: Letters from which an institution's name may have a typo.
+LONG_PLACE = 5
 
-_KEYS = T.ArrayType(T.StructType([T.StructField("word", T.StringType()), T.StructField("sure", T.BooleanType())]))
+_KEYS = T.ArrayType(
+    T.StructType([T.StructField("word", T.StringType()), T.StructField("given", T.StringType()), T.StructField("letters", T.ArrayType(T.StringType())), T.StructField("sure", T.BooleanType())])
+)
 
 
 @F.pandas_udf(_KEYS)
-def _family_keys(names: pd.Series) -> pd.Series:
-    return names.map(lambda n: [{"word": w, "sure": s} for w, s in family_keys(n if isinstance(n, str) else None)])
+def _name_keys(names: pd.Series, others: pd.Series) -> pd.Series:
+    def keys(*spelled: str | None) -> list[dict]:
+        return [{"word": w, "given": g, "letters": first_letters(g), "sure": s} for n in spelled if isinstance(n, str) for w, g, s in name_keys(n)]
+
+    return pd.Series([keys(*x) for x in zip(names, others)])
 
 
 @F.pandas_udf(T.StringType())
@@ -50,16 +60,13 @@ def _folded_words(names: pd.Series) -> pd.Series:
 
 
 @F.pandas_udf(T.DoubleType())
-def _name_score(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
-    """Best score of the name against two spellings of the other one."""
-    text = lambda x: x if isinstance(x, str) else None
-    return pd.Series([max(name_score(text(x), text(y)), name_score(text(x), text(z)) if isinstance(z, str) else 0.0) for x, y, z in zip(a, b, c)], dtype=float)
+def _name_score(a: pd.Series, other_a: pd.Series, b: pd.Series, other_b: pd.Series) -> pd.Series:
+    """Best score of the spellings of one side against those of the other; the other spellings of both are not compared."""
 
+    def best(x: str | None, u: str | None, y: str | None, v: str | None) -> float:
+        return max((name_score(p, q) for p, q in ((x, y), (x, v), (u, y)) if isinstance(p, str) and isinstance(q, str)), default=0.0)
 
-@F.pandas_udf(T.DoubleType())
-def _place_match(a: pd.Series, b: pd.Series) -> pd.Series:
-    text = lambda x: x if isinstance(x, str) else None
-    return pd.Series([institution_match(text(x), text(y)) for x, y in zip(a, b)], dtype=float)
+    return pd.Series([best(*row) for row in zip(a, other_a, b, other_b)], dtype=float)
 
 
 _PLACE = T.StructType([T.StructField("place", T.StringType()), T.StructField("kind", T.StringType())])
@@ -76,17 +83,6 @@ def with_place(rows: DataFrame) -> DataFrame:
     return rows.withColumn("at", _place_parts("place"))
 
 
-def may_be_same_place(a: Column, b: Column) -> Column:
-    """False where the institutions surely differ, so that such pairs never reach Python."""
-    kinds = (a["kind"] == b["kind"]) | (a["kind"] == "?") | (b["kind"] == "?") | ((a["kind"].startswith("univers")) & (b["kind"].startswith("univers")))
-    differ = a["place"].isNotNull() & b["place"].isNotNull() & ~(kinds & (F.levenshtein(a["place"], b["place"], 2) >= 0))
-    return ~F.coalesce(differ, F.lit(False))
-
-
-def place_unknown(a: Column, b: Column) -> Column:
-    return a["place"].isNull() | b["place"].isNull()
-
-
 def digits(c: Column, n: int) -> Column:
     """An identifier in any notation as its bare ``n`` characters; null for placeholders and what is none."""
     last = F.regexp_extract(F.upper(F.regexp_replace(c, r"(?<=\d)\.0+\s*$", "")), r"([0-9][0-9\s\-–—‐‑.]*X?)\s*/?\s*$", 1)
@@ -124,46 +120,139 @@ def given_words(professors: DataFrame) -> DataFrame:
     return n.where("given >= 3 and given > 2 * (n - given) and length(word) > 1").select("word")
 
 
-def keyed_names(names: DataFrame, givens: DataFrame, columns: tuple[str, ...] = ("name",)) -> DataFrame:
-    """``id, word``: family names each row's name may have. A part that is commonly a given name counts only if the name says it is none."""
-    keys = None
-    for c in columns:
-        k = names.select("id", F.explode(_family_keys(c)).alias("k")).select("id", "k.word", "k.sure")
-        keys = k if keys is None else keys.unionByName(k)
-    open_ = keys.where("not sure").join(givens, "word", "left_anti")
-    return keys.where("sure").select("id", "word").unionByName(open_.select("id", "word")).distinct()
+def same_kinds(a: Column, b: Column) -> Column:
+    """Whether kinds of institutions agree; an open kind agrees with all, ``universi?`` with the kinds it may stand for."""
+    may = lambda x, y: (x == "universi?") & y.isin("universidad", "universite", "university")
+    return (a == b) | (a == "?") | (b == "?") | may(a, b) | may(b, a)
+
+
+def near_places(a: DataFrame, b: DataFrame) -> DataFrame:
+    """``at, other``: distinct institutions of rows of both sides that are the same one, perhaps with a typo."""
+    own = a.where("at.place is not null").select("at").distinct()
+    theirs = b.where("at.place is not null").select(F.col("at").alias("other")).distinct()
+    near = near_words(own.select(F.col("at.place").alias("word")), theirs.select(F.col("other.place").alias("word")), 1)
+    near = near.where((F.col("distance") == 0) | (F.least(F.length("probe"), F.length("word")) >= LONG_PLACE))
+    both = own.join(near, F.col("at.place") == F.col("probe")).join(theirs, F.col("other.place") == F.col("word"))
+    return both.where(same_kinds(F.col("at.kind"), F.col("other.kind"))).select("at", "other")
+
+
+def near_givens(a: DataFrame, b: DataFrame) -> DataFrame:
+    """``own, theirs``: full given names that are equal, nearly so, or one the short form of the other."""
+    full = lambda k: k.where("length(given) > 1").select(F.col("given").alias("word"))
+    near = near_words(full(a), full(b), 2).select(F.col("probe").alias("own"), F.col("word").alias("theirs"))
+    short = [(k, n) for k, v in NICKNAMES.items() for n in v.split()]  # a fixed table
+    table = a.sparkSession.createDataFrame(short + [(n, k) for k, n in short], "own string, theirs string")
+    return near.unionByName(table).distinct()
+
+
+def spelled(rows: DataFrame, givens: DataFrame) -> DataFrame:
+    """``name_id, word, given, letters`` of distinct names (``name_id, name, other``).
+
+    A part that is commonly a given name is no family name, unless the name says it is, or nothing
+    would be left to find the name by.
+    """
+    keys = rows.select("name_id", F.explode(_name_keys("name", "other")).alias("k")).select("name_id", "k.*")
+    common = givens.select(F.col("word").alias("common"))
+    keys = keys.join(common, keys.word == common.common, "left").withColumn("doubtful", ~F.col("sure") & F.col("common").isNotNull()).drop("common", "sure")
+    some = keys.groupBy("name_id").agg(F.min("doubtful").alias("all_doubtful"))
+    return keys.join(some, "name_id").where("not doubtful or all_doubtful").select("name_id", "word", "given", "letters").distinct()
+
+
+class Meeting:
+    """Candidates between rows of two sides (``id, name_id, at``), whose distinct names are ``spelled``."""
+
+    def __init__(self, tables: Scratch, a: DataFrame, b: DataFrame, own: DataFrame, theirs: DataFrame):
+        self.a, self.b = (x.select("id", "name_id", "at") for x in (a, b))
+        self.own, self.theirs = own, theirs
+        self.families = tables.written(near_words(own, theirs, 2), "families")
+        self.places = tables.written(near_places(a, b), "places")
+
+    def _words(self, rows: DataFrame, keys: DataFrame) -> DataFrame:
+        return rows.join(keys.select("name_id", "word").distinct(), "name_id")
+
+    def with_near_words(self, rows: DataFrame, keys: DataFrame) -> DataFrame:
+        """Rows with each family name of the other side that is near to one of theirs."""
+        return self._words(rows, keys).join(self.families.select("probe", F.col("word").alias("near")), F.col("word") == F.col("probe")).drop("word", "probe")
+
+    def at_place(self) -> DataFrame:
+        """``id_a, id_b, name_a, name_b`` of rows at one institution that share a family name or nearly do."""
+        a = self.with_near_words(self.a.where("at.place is not null"), self.own)
+        a = a.join(self.places, "at").select(F.col("id").alias("id_a"), F.col("name_id").alias("name_a"), "near", "other").distinct()
+        b = self._words(self.b.where("at.place is not null"), self.theirs).select(F.col("id").alias("id_b"), F.col("name_id").alias("name_b"), "word", F.col("at").alias("at_b"))
+        return a.join(b, (F.col("near") == F.col("word")) & (F.col("other") == F.col("at_b"))).select("id_a", "id_b", "name_a", "name_b").distinct()
 
+    def anywhere(self) -> DataFrame:
+        """``name_a, name_b`` of names that nearly share family name and given name, where a row of one of them has no institution.
 
-def candidates(a: DataFrame, b: DataFrame, most: int = 2) -> DataFrame:
-    """``id_a, id_b, distance`` of rows (``id, word``) that share a family name or nearly do."""
-    near = near_words(a, b, most)
-    left = a.select(F.col("id").alias("id_a"), F.col("word").alias("probe"))
-    right = b.select(F.col("id").alias("id_b"), "word")
-    return left.join(near, "probe").join(right, "word").groupBy("id_a", "id_b").agg(F.min("distance").alias("distance"))
+        A full given name meets near ones, short forms and its initials; an initial meets all it may stand for.
+        """
 
+        def armed(rows: DataFrame, keys: DataFrame, both: bool) -> DataFrame:
+            # arm 0: side a is somewhere unknown; arm 1: side b is, and side a is not
+            has = rows.groupBy("name_id").agg(F.max(F.col("at.place").isNull()).alias("lost"), F.max(F.col("at.place").isNotNull()).alias("found"))
+            arms = F.array_compact(F.array(F.when(F.lit(True) if both else F.col("lost"), 0), F.when(F.col("lost") if both else F.col("found"), 1)))
+            return keys.where("given <> ''").join(has.select("name_id", F.explode(arms).alias("arm")), "name_id")
 
-def comparable(a: Column, b: Column) -> Column:
-    """Whether a candidate pair (with ``distance``) can still be accepted: family names two edits apart need a common place."""
-    return may_be_same_place(a, b) & ((F.col("distance") < 2) | ~place_unknown(a, b))
+        near = self.families.where("distance = 0 or distance = 1 and length(probe) >= 5 and length(word) >= 5").select("probe", F.col("word").alias("near"))
+        a = armed(self.a, self.own, False).join(near, F.col("word") == F.col("probe")).select("name_id", "near", "arm", "given", "letters")
+        b = armed(self.b, self.theirs, True)
+        full, one = F.length("given") > 1, F.length("given") == 1
+        marked = lambda mark, c: F.concat(F.lit(mark), c)
+        letters = lambda mark: F.transform("letters", lambda x: F.concat(F.lit(mark), x))
+        a = a.join(near_givens(a, b), F.col("given") == F.col("own"), "left")
+        a = a.select(F.col("name_id").alias("name_a"), "near", "arm", F.explode(F.when(one, F.array(marked("i", F.col("given")))).otherwise(F.concat(F.array_compact(F.array(marked("g", F.col("theirs")))), letters("p")))).alias("key")).distinct()
+        b = b.select(F.col("name_id").alias("name_b"), "word", F.col("arm").alias("arm_b"), F.explode(F.when(full, F.concat(F.array(marked("g", F.col("given"))), letters("i"))).otherwise(F.array(marked("i", F.col("given")), marked("p", F.col("given"))))).alias("key_b")).distinct()
+        return a.join(b, (F.col("near") == F.col("word")) & (F.col("arm") == F.col("arm_b")) & (F.col("key") == F.col("key_b"))).select("name_a", "name_b").distinct()
 
 
-def accepted(score: Column, place: Column) -> Column:
-    return ((place > 0.5) & (score >= SAME_PLACE)) | ((place == 0.5) & (score >= NO_PLACE))
+def rated(pairs: DataFrame, a: DataFrame, b: DataFrame, least: float) -> DataFrame:
+    """``name_a, name_b, score`` of distinct pairs of names that do not contradict each other."""
+    pairs = pairs.select("name_a", "name_b").distinct()
+    x = a.select(F.col("name_id").alias("name_a"), F.col("name").alias("text_a"), F.col("other").alias("other_a"))
+    y = b.select(F.col("name_id").alias("name_b"), F.col("name").alias("text_b"), F.col("other").alias("other_b"))
+    both = spread(pairs.join(x, "name_a").join(y, "name_b"))
+    score = _name_score("text_a", "other_a", "text_b", "other_b")
+    return both.select("name_a", "name_b", score.alias("score")).where(F.col("score") >= least)
 
 
-def professor_links(people: DataFrame, keys: DataFrame) -> DataFrame:
+def names_of(rows: DataFrame) -> DataFrame:
+    """Distinct names of rows: ``name_id, name, other``."""
+    return rows.where("name is not null").groupBy("name_id").agg(F.min("name").alias("name"), F.min("other").alias("other"))
+
+
+def name_id(name: Column, other: Column) -> Column:
+    return F.md5(F.to_json(F.array(name, other)))
+
+
+def professor_links(tables: Scratch, people: DataFrame, names: DataFrame, keys: DataFrame) -> DataFrame:
     """``id_a, id_b``: pairs of professors rows of one person, the smaller id first."""
-    pairs = candidates(keys, keys).where("id_a < id_b")
-    a = people.select(*(F.col(c).alias(f"{c}_a") for c in ("professor_id", "name", "other", "place", "at", "orcid", "scholar")))
-    b = people.select(*(F.col(c).alias(f"{c}_b") for c in ("professor_id", "name", "other", "place", "at", "orcid", "scholar")))
-    same_id = F.coalesce(F.col("orcid_a") == F.col("orcid_b"), F.lit(False)) | F.coalesce(F.col("scholar_a") == F.col("scholar_b"), F.lit(False))
-    both = pairs.join(a, F.col("id_a") == F.col("professor_id_a")).join(b, F.col("id_b") == F.col("professor_id_b"))
-    both = spread(both.where(comparable(F.col("at_a"), F.col("at_b")) | (same_id & may_be_same_place(F.col("at_a"), F.col("at_b")))))
-    score = F.greatest(_name_score("name_a", "name_b", "other_b"), _name_score("name_b", "name_a", "other_a"))
-    rated = both.select("id_a", "id_b", score.alias("score"), _place_match("place_a", "place_b").alias("place"), (F.col("orcid_a") == F.col("orcid_b")).alias("orcid"), (F.col("scholar_a") == F.col("scholar_b")).alias("scholar"))
-    same_id = F.coalesce(F.col("orcid"), F.lit(False)) | F.coalesce(F.col("scholar"), F.lit(False))
-    other_id = F.coalesce(~F.col("orcid"), F.lit(False)) | F.coalesce(~F.col("scholar"), F.lit(False))
-    return rated.where((accepted(F.col("score"), F.col("place")) & ~(other_id & ~same_id)) | (same_id & (F.col("score") >= 0.4) & (F.col("place") > 0))).select("id_a", "id_b")
+    rows = people.select(F.col("professor_id").alias("id"), "name_id", "at")
+    met = Meeting(tables, rows, rows, keys, keys)
+    there = tables.written(met.at_place().where("id_a < id_b"), "at-place")
+    scores = tables.written(rated(there.select("name_a", "name_b").unionByName(tables.written(met.anywhere(), "anywhere")), names, names, 0.4), "scores")
+    a = rows.select(F.col("id").alias("id_a"), F.col("name_id").alias("name_a"), F.col("at").alias("at_a"))
+    b = rows.select(F.col("id").alias("id_b"), F.col("name_id").alias("name_b"), F.col("at").alias("at_b"))
+    lost = F.col("at_a.place").isNull() | F.col("at_b.place").isNull()
+    apart = scores.where(F.col("score") >= NO_PLACE).join(a, "name_a").join(b, "name_b").where(lost & (F.col("id_a") != F.col("id_b")))
+    apart = apart.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b")).distinct()
+    near = there.join(scores.where(F.col("score") >= SAME_PLACE), ["name_a", "name_b"]).select("id_a", "id_b")
+    ids = people.select("professor_id", "orcid", "scholar")
+    x = ids.select(*(F.col(c).alias(f"{c}_a") for c in ids.columns))
+    y = ids.select(*(F.col(c).alias(f"{c}_b") for c in ids.columns))
+    by_name = near.unionByName(apart).distinct().join(x, F.col("id_a") == F.col("professor_id_a")).join(y, F.col("id_b") == F.col("professor_id_b"))
+    agree = lambda f: F.coalesce(f("orcid"), F.lit(False)) | F.coalesce(f("scholar"), F.lit(False))
+    same = agree(lambda c: F.col(f"{c}_a") == F.col(f"{c}_b"))
+    other = agree(lambda c: F.col(f"{c}_a") != F.col(f"{c}_b"))
+    by_name = by_name.where(same | ~other).select("id_a", "id_b")
+    # rows with an equal identifier need less of a name, but one that is near, and no other institution
+    marked = rows.join(people.select(F.col("professor_id").alias("id"), F.explode(F.array_compact(F.array(F.concat(F.lit("o"), "orcid"), F.concat(F.lit("s"), "scholar")))).alias("mark")), "id")
+    a = met.with_near_words(marked, keys).select(F.col("id").alias("id_a"), F.col("name_id").alias("name_a"), F.col("at").alias("at_a"), F.col("mark").alias("mark_a"), "near")
+    b = marked.join(keys.select("name_id", "word").distinct(), "name_id").select(F.col("id").alias("id_b"), F.col("name_id").alias("name_b"), F.col("at").alias("at_b"), "mark", "word")
+    by_id = a.join(b, (F.col("mark_a") == F.col("mark")) & (F.col("near") == F.col("word")) & (F.col("id_a") < F.col("id_b"))).select("id_a", "id_b", "name_a", "name_b", "at_a", "at_b").distinct()
+    by_id = by_id.join(met.places, (F.col("at_a") == F.col("at")) & (F.col("at_b") == F.col("other")), "left").where(lost | F.col("at").isNotNull())
+    by_id = tables.written(by_id.select("id_a", "id_b", "name_a", "name_b"), "by-id")
+    by_id = by_id.join(rated(by_id, names, names, 0.4), ["name_a", "name_b"]).select("id_a", "id_b")
+    return by_name.unionByName(by_id).distinct()
 
 
 def author_links(professors: DataFrame, departments: DataFrame | None, authorships: DataFrame) -> DataFrame:
@@ -173,29 +262,47 @@ def author_links(professors: DataFrame, departments: DataFrame | None, authorshi
     them. A name that fits several people equally well and has no institution to tell is not linked.
     Null and blank names are linked to nobody.
     """
-    people = written(roster(professors, departments), "roster")
-    givens = written(given_words(professors), "givens")
-    named = people.select(F.col("professor_id").alias("id"), "name", "other")
-    keys = written(keyed_names(named, givens, ("name", "other")), "professor-keys")
-    links = written(professor_links(people, keys), "professor-links")
-
-    place = F.when(F.trim("institution") != "", F.col("institution"))
-    rows = authorships.where("professor_id is null and author_name_as_published is not null").select("authorship_id", F.col("author_name_as_published").alias("name"), place.alias("place")).dropDuplicates(["authorship_id"])
-    rows = written(rows.withColumn("id", F.xxhash64("name", "place")), "unresolved")
-    spelled = written(with_place(rows.groupBy("id").agg(F.min("name").alias("name"), F.min("place").alias("place"))), "spelled")
-    pairs = candidates(written(keyed_names(spelled, givens), "author-keys"), keys)
-    p = people.select("professor_id", F.col("name").alias("p_name"), F.col("other").alias("p_other"), F.col("place").alias("p_place"), F.col("at").alias("p_at"))
-    both = spread(pairs.join(spelled, pairs.id_a == spelled.id).join(p, pairs.id_b == p.professor_id).where(comparable(F.col("at"), F.col("p_at"))))
-    rated = both.select("id", "professor_id", _name_score("name", "p_name", "p_other").alias("score"), _place_match("place", "p_place").alias("place_match"))
-    good = written(rated.where(accepted(F.col("score"), F.col("place_match"))), "rated")
-
-    # the person of a row: the smallest id it is linked to
-    person = links.groupBy(F.col("id_b").alias("professor_id")).agg(F.min("id_a").alias("first"))
-    good = good.join(person, "professor_id", "left").withColumn("person", F.coalesce("first", "professor_id"))
-    good = good.withColumn("rank", F.col("score") + F.when(F.col("place_match") > 0.5, 2.0).otherwise(0.0))
-    per_person = good.groupBy("id", "person").agg(F.max("rank").alias("rank"))
-    top = per_person.groupBy("id").agg(F.max("rank").alias("top"))
-    best = per_person.join(top, "id").where("rank >= top - 0.001").groupBy("id").agg(F.min("person").alias("person"), F.count(F.lit(1)).alias("n")).where("n = 1").select("id", "person")
-    chosen = good.join(best, ["id", "person"]).select("id", "professor_id")
-    found = rows.join(chosen, "id").select(F.lit("authorship").alias("link_kind"), F.col("authorship_id").alias("id_a"), F.col("professor_id").alias("id_b"))
-    return found.unionByName(links.select(F.lit("professor").alias("link_kind"), "id_a", "id_b"))
+    spark = professors.sparkSession
+    with Scratch(spark) as tables:
+        people = roster(professors, departments).withColumn("name_id", name_id(F.col("name"), F.col("other")))
+        people = tables.written(people, "roster")
+        givens = tables.written(given_words(professors), "givens")
+        names = tables.written(names_of(people), "names")
+        keys = tables.written(spelled(names, givens), "professor-keys")
+        links = tables.written(professor_links(tables, people, names, keys), "professor-links")
+
+        place = F.when(F.trim("institution") != "", F.col("institution"))
+        rows = authorships.where("professor_id is null and author_name_as_published is not null").select("authorship_id", F.col("author_name_as_published").alias("name"), place.alias("place")).dropDuplicates(["authorship_id"])
+        rows = tables.written(rows.withColumn("id", name_id(F.col("name"), F.col("place"))), "unresolved")
+        own = with_place(rows.groupBy("id").agg(F.min("name").alias("name"), F.min("place").alias("place"))).withColumn("other", F.lit(None).cast("string"))
+        own = tables.written(own.withColumn("name_id", name_id(F.col("name"), F.col("other"))), "spelled")
+        own_names = tables.written(names_of(own), "author-names")
+        own_keys = tables.written(spelled(own_names, givens), "author-keys")
+
+        # the person of a row: the smallest id it is linked to
+        first = links.groupBy(F.col("id_b").alias("professor_id")).agg(F.min("id_a").alias("first"))
+        known = people.select("professor_id", "name_id", "at").join(first, "professor_id", "left").withColumn("person", F.coalesce("first", "professor_id"))
+        known = tables.written(known.select("professor_id", "name_id", "at", "person"), "known")
+        met = Meeting(tables, own.select("id", "name_id", "at"), known.select(F.col("professor_id").alias("id"), "name_id", "at"), own_keys, keys)
+        there = tables.written(met.at_place(), "at-place")
+        anywhere = tables.written(met.anywhere(), "anywhere")
+        scores = tables.written(rated(there.select("name_a", "name_b").unionByName(anywhere), own_names, names, SAME_PLACE), "scores")
+
+        # people by spelling; of a spelling that many people have it is enough that there are two
+        near = there.join(scores, ["name_a", "name_b"]).join(known.select(F.col("professor_id").alias("id_b"), "person"), "id_b")
+        near = near.select("id_a", (F.col("score") + 2.0).alias("rank"), F.col("person").alias("low"), F.col("person").alias("high"))
+        owners = known.groupBy(F.col("name_id").alias("name_b"), F.col("at.place").isNull().alias("lost_b")).agg(F.min("person").alias("low"), F.max("person").alias("high"))
+        asked = own.select(F.col("id").alias("id_a"), F.col("name_id").alias("name_a"), F.col("at.place").isNull().alias("lost_a"))
+        fits = scores.where(F.col("score") >= NO_PLACE).join(owners, "name_b").join(asked, "name_a").where("lost_a or lost_b")
+        fits = fits.select("id_a", F.col("score").alias("rank"), "low", "high")
+        both = near.unionByName(fits)
+        best = both.groupBy("id_a").agg(F.max("rank").alias("best"))
+        top = both.join(best, "id_a").where("rank >= best - 0.001").groupBy("id_a").agg(F.min("low").alias("person"), F.max("high").alias("high")).where("person = high")
+        top = tables.written(top.select("id_a", "person"), "chosen")
+        # all rows of the person that fit
+        rows_of = top.join(known.select("professor_id", "name_id", "at", "person"), "person").join(asked, "id_a")
+        good = rows_of.join(scores, (scores.name_a == rows_of.name_a) & (scores.name_b == rows_of.name_id)).where((F.col("score") >= NO_PLACE) & (F.col("lost_a") | F.col("at.place").isNull())).select("id_a", "professor_id")
+        placed = top.join(there.join(scores, ["name_a", "name_b"]).select("id_a", F.col("id_b").alias("professor_id")), "id_a").join(known.select("professor_id", F.col("person").alias("own")), "professor_id").where("own = person").select("id_a", "professor_id")
+        chosen = good.unionByName(placed).distinct()
+        found = rows.join(chosen, rows.id == chosen.id_a).select(F.lit("authorship").alias("link_kind"), F.col("authorship_id").alias("id_a"), F.col("professor_id").alias("id_b"))
+        return written(found.unionByName(links.select(F.lit("professor").alias("link_kind"), "id_a", "id_b")), "links")

@@ -8,8 +8,8 @@ swap reaches into two pieces and two edits leave at least one. A word of the oth
 shards of its own parts for every length within reach (the middle piece also one letter to the left
 and right, since the edit before it may move it), and walks through the trie with a Levenshtein
 automaton (a swap counts as one edit) that leaves a branch as soon as nothing in it can be near. So
-all pairs within the edits allowed for the word are found. Words of fewer than five letters match
-only themselves.
+all pairs within the edits allowed for the word are found: two from seven letters, one from three.
+Words of one or two letters match only themselves, since one edit makes any of them any other.
 
 Shards are cut to a bounded number of words on both sides, whatever the letters' frequencies, and
 several small ones go to one task.
@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SHORTEST = 5
+SHORTEST = 3
 #: Letters from which a word may be two edits from another.
 TWO_EDITS = 7
 SHARD_WORDS = 20_000
@@ -127,7 +127,7 @@ def near(word: str, root: dict, most: int) -> Iterator[tuple[str, int]]:
 
 
 def allowed(word: str, most: int = 2) -> int:
-    """Edits allowed for a word: none below five letters, one below seven, then ``most``."""
+    """Edits allowed for a word: none below three letters, one below seven, then ``most``."""
     return 0 if len(word) < SHORTEST else min(most, 1) if len(word) < TWO_EDITS else most
 
 
