@@ -87,11 +87,11 @@ def _givens_at(names: pd.Series, places: pd.Series) -> pd.Series:
 
 def candidate_pairs(tables: Scratch, people: DataFrame, profiles: DataFrame, givens: DataFrame) -> DataFrame:
     """``professor_id, profile_id`` that meet by an identifier, by name and institution, or by the whole name where one has no institution."""
-    names, own_names = tables.written(names_of(people), "names"), tables.written(names_of(profiles), "profile-names")
-    keys, own_keys = tables.written(spelled(names, givens), "professor-keys"), tables.written(spelled(own_names, givens), "profile-keys")
+    parts = ["name_id", "name", "other"]
+    names = tables.written(names_of(people.select(parts).unionByName(profiles.select(parts))), "names")
     a = profiles.select(F.col("profile_id").alias("id"), "name_id", "at")
     b = people.select(F.col("professor_id").alias("id"), "name_id", "at")
-    met = Meeting(tables, a, b, own_keys, keys)
+    met = Meeting(tables, a, b, tables.written(spelled(names, givens), "keys"))
     ways = [met.at_place().select(F.col("id_b").alias("professor_id"), F.col("id_a").alias("profile_id"))]
     x = a.select(F.col("id").alias("profile_id"), F.col("name_id").alias("name_a"), F.col("at.place").isNull().alias("lost_a"))
     y = b.select(F.col("id").alias("professor_id"), F.col("name_id").alias("name_b"), F.col("at.place").isNull().alias("lost_b"))
@@ -175,7 +175,7 @@ def matches(professors: DataFrame, departments: DataFrame | None, profiles: Data
     """
     with Scratch(professors.sparkSession) as tables:
         people = tables.written(roster(professors, departments).withColumn("name_id", name_id(F.col("name"), F.col("other"))), "roster")
-        givens = tables.written(given_words(professors), "givens")
+        givens = given_words(professors)
         place = F.when(F.trim("affiliation") != "", F.col("affiliation"))
         own = with_place(profiles.select("profile_id", "display_name", "orcid", "scholar_ref", "affiliation").dropDuplicates(["profile_id"]).withColumn("place", place))
         own = own.select("profile_id", "at", F.col("display_name").alias("name"), F.lit(None).cast("string").alias("other"), "place", digits(F.col("orcid"), 16).alias("orcid"), digits(F.col("scholar_ref"), 11).alias("scholar"))

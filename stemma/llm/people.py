@@ -127,7 +127,7 @@ def same_kinds(a: Column, b: Column) -> Column:
 
 
 def near_places(a: DataFrame, b: DataFrame) -> DataFrame:
-    """``at, other``: distinct institutions of rows of both sides that are the same one, perhaps with a typo."""
+    """``at, other``: distinct institutions (column ``at`` of both sides) that are the same one, perhaps with a typo."""
     own = a.where("at.place is not null").select("at").distinct()
     theirs = b.where("at.place is not null").select(F.col("at").alias("other")).distinct()
     near = near_words(own.select(F.col("at.place").alias("word")), theirs.select(F.col("other.place").alias("word")), 1)
@@ -151,35 +151,39 @@ def spelled(rows: DataFrame, givens: DataFrame) -> DataFrame:
     A part that is commonly a given name is no family name, unless the name says it is, or nothing
     would be left to find the name by.
     """
-    keys = rows.select("name_id", F.explode(_name_keys("name", "other")).alias("k")).select("name_id", "k.*")
+    keys = rows.select("name_id", F.explode(_name_keys("name", "other")).alias("k"))
     common = givens.select(F.col("word").alias("common"))
-    keys = keys.join(common, keys.word == common.common, "left").withColumn("doubtful", ~F.col("sure") & F.col("common").isNotNull()).drop("common", "sure")
-    some = keys.groupBy("name_id").agg(F.min("doubtful").alias("all_doubtful"))
-    return keys.join(some, "name_id").where("not doubtful or all_doubtful").select("name_id", "word", "given", "letters").distinct()
+    keys = keys.join(common, F.col("k.word") == F.col("common"), "left").select("name_id", F.struct("k.*", (~F.col("k.sure") & F.col("common").isNotNull()).alias("doubtful")).alias("k"))
+    one = keys.groupBy("name_id").agg(F.collect_set("k").alias("all")).withColumn("firm", F.filter("all", lambda k: ~k["doubtful"]))  # a name has a few keys
+    return one.select("name_id", F.explode(F.when(F.size("firm") > 0, F.col("firm")).otherwise(F.col("all"))).alias("k")).select("name_id", "k.word", "k.given", "k.letters")
 
 
 class Meeting:
-    """Candidates between rows of two sides (``id, name_id, at``), whose distinct names are ``spelled``."""
+    """Candidates between rows of two sides (``id, name_id, at``), whose names' keys are ``keys``."""
 
-    def __init__(self, tables: Scratch, a: DataFrame, b: DataFrame, own: DataFrame, theirs: DataFrame):
+    def __init__(self, tables: Scratch, a: DataFrame, b: DataFrame, keys: DataFrame):
         self.a, self.b = (x.select("id", "name_id", "at") for x in (a, b))
-        self.own, self.theirs = own, theirs
-        self.families = tables.written(near_words(own, theirs, 2), "families")
+        self.keys, self.tables = keys, tables
         self.places = tables.written(near_places(a, b), "places")
 
-    def _words(self, rows: DataFrame, keys: DataFrame) -> DataFrame:
-        return rows.join(keys.select("name_id", "word").distinct(), "name_id")
+    def at_place(self, marks: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+        """``id_a, id_b, name_a, name_b`` of rows at one institution that share a family name or nearly do.
 
-    def with_near_words(self, rows: DataFrame, keys: DataFrame) -> DataFrame:
-        """Rows with each family name of the other side that is near to one of theirs."""
-        return self._words(rows, keys).join(self.families.select("probe", F.col("word").alias("near")), F.col("word") == F.col("probe")).drop("word", "probe")
-
-    def at_place(self) -> DataFrame:
-        """``id_a, id_b, name_a, name_b`` of rows at one institution that share a family name or nearly do."""
-        a = self.with_near_words(self.a.where("at.place is not null"), self.own)
-        a = a.join(self.places, "at").select(F.col("id").alias("id_a"), F.col("name_id").alias("name_a"), "near", "other").distinct()
-        b = self._words(self.b.where("at.place is not null"), self.theirs).select(F.col("id").alias("id_b"), F.col("name_id").alias("name_b"), "word", F.col("at").alias("at_b"))
-        return a.join(b, (F.col("near") == F.col("word")) & (F.col("other") == F.col("at_b"))).select("id_a", "id_b", "name_a", "name_b").distinct()
+        Of each institution the family names of side b are one trie. ``marks`` (``id, mark`` of both
+        sides) are further things to meet by in the same way: rows of equal mark.
+        """
+        words = self.keys.select("name_id", "word").distinct()
+        where = lambda at: F.concat_ws("|", F.lit("@"), f"{at}.place", f"{at}.kind")
+        a = self.a.where("at.place is not null").join(self.places, "at").select("id", "name_id", where("other").alias("by"))
+        b = self.b.where("at.place is not null").select("id", "name_id", where("at").alias("by"))
+        if marks:
+            a = a.unionByName(self.a.join(marks[0], "id").select("id", "name_id", F.col("mark").alias("by")))
+            b = b.unionByName(self.b.join(marks[1], "id").select("id", "name_id", F.col("mark").alias("by")))
+        a, b = self.tables.written(a.join(words, "name_id"), "words"), self.tables.written(b.join(words, "name_id"), "words")
+        near = self.tables.written(near_words(a, b, 2, by="by").select("by", "probe", F.col("word").alias("near")), "near")
+        a = a.select(F.col("id").alias("id_a"), F.col("name_id").alias("name_a"), "by", F.col("word").alias("probe")).join(near, ["by", "probe"])
+        b = b.select(F.col("id").alias("id_b"), F.col("name_id").alias("name_b"), "by", F.col("word").alias("near"))
+        return a.join(b, ["by", "near"]).select("id_a", "id_b", "name_a", "name_b", F.col("by").startswith("@").alias("placed")).distinct()
 
     def anywhere(self) -> DataFrame:
         """``name_a, name_b`` of names that nearly share family name and given name, where a row of one of them has no institution.
@@ -187,29 +191,28 @@ class Meeting:
         A full given name meets near ones, short forms and its initials; an initial meets all it may stand for.
         """
 
-        def armed(rows: DataFrame, keys: DataFrame, both: bool) -> DataFrame:
+        def armed(rows: DataFrame, both: bool) -> DataFrame:
             # arm 0: side a is somewhere unknown; arm 1: side b is, and side a is not
             has = rows.groupBy("name_id").agg(F.max(F.col("at.place").isNull()).alias("lost"), F.max(F.col("at.place").isNotNull()).alias("found"))
             arms = F.array_compact(F.array(F.when(F.lit(True) if both else F.col("lost"), 0), F.when(F.col("lost") if both else F.col("found"), 1)))
-            return keys.where("given <> ''").join(has.select("name_id", F.explode(arms).alias("arm")), "name_id")
+            return self.tables.written(self.keys.where("given <> ''").join(has.select("name_id", F.explode(arms).alias("arm")), "name_id"), "armed")
 
-        near = self.families.where("distance = 0 or distance = 1 and length(probe) >= 5 and length(word) >= 5").select("probe", F.col("word").alias("near"))
-        a = armed(self.a, self.own, False).join(near, F.col("word") == F.col("probe")).select("name_id", "near", "arm", "given", "letters")
-        b = armed(self.b, self.theirs, True)
+        a, b = armed(self.a, False), armed(self.b, True)
+        near = near_words(a, b, 1).where("distance = 0 or length(probe) >= 5 and length(word) >= 5").select("probe", F.col("word").alias("near"))
         full, one = F.length("given") > 1, F.length("given") == 1
         marked = lambda mark, c: F.concat(F.lit(mark), c)
         letters = lambda mark: F.transform("letters", lambda x: F.concat(F.lit(mark), x))
-        a = a.join(near_givens(a, b), F.col("given") == F.col("own"), "left")
-        a = a.select(F.col("name_id").alias("name_a"), "near", "arm", F.explode(F.when(one, F.array(marked("i", F.col("given")))).otherwise(F.concat(F.array_compact(F.array(marked("g", F.col("theirs")))), letters("p")))).alias("key")).distinct()
-        b = b.select(F.col("name_id").alias("name_b"), "word", F.col("arm").alias("arm_b"), F.explode(F.when(full, F.concat(F.array(marked("g", F.col("given"))), letters("i"))).otherwise(F.array(marked("i", F.col("given")), marked("p", F.col("given"))))).alias("key_b")).distinct()
-        return a.join(b, (F.col("near") == F.col("word")) & (F.col("arm") == F.col("arm_b")) & (F.col("key") == F.col("key_b"))).select("name_a", "name_b").distinct()
+        x = a.join(near, F.col("word") == F.col("probe")).join(near_givens(a, b), F.col("given") == F.col("own"), "left")
+        x = x.select(F.col("name_id").alias("name_a"), "near", "arm", F.explode(F.when(one, F.array(marked("i", F.col("given")))).otherwise(F.concat(F.array_compact(F.array(marked("g", F.col("theirs")))), letters("p")))).alias("key"))
+        y = b.select(F.col("name_id").alias("name_b"), F.col("word").alias("near"), "arm", F.explode(F.when(full, F.concat(F.array(marked("g", F.col("given"))), letters("i"))).otherwise(F.array(marked("i", F.col("given")), marked("p", F.col("given"))))).alias("key"))
+        return x.join(y, ["near", "arm", "key"]).select("name_a", "name_b").distinct()
 
 
-def rated(pairs: DataFrame, a: DataFrame, b: DataFrame, least: float) -> DataFrame:
+def rated(pairs: DataFrame, names: DataFrame, least: float) -> DataFrame:
     """``name_a, name_b, score`` of distinct pairs of names that do not contradict each other."""
     pairs = pairs.select("name_a", "name_b").distinct()
-    x = a.select(F.col("name_id").alias("name_a"), F.col("name").alias("text_a"), F.col("other").alias("other_a"))
-    y = b.select(F.col("name_id").alias("name_b"), F.col("name").alias("text_b"), F.col("other").alias("other_b"))
+    x = names.select(F.col("name_id").alias("name_a"), F.col("name").alias("text_a"), F.col("other").alias("other_a"))
+    y = names.select(F.col("name_id").alias("name_b"), F.col("name").alias("text_b"), F.col("other").alias("other_b"))
     both = spread(pairs.join(x, "name_a").join(y, "name_b"))
     score = _name_score("text_a", "other_a", "text_b", "other_b")
     return both.select("name_a", "name_b", score.alias("score")).where(F.col("score") >= least)
@@ -224,35 +227,9 @@ def name_id(name: Column, other: Column) -> Column:
     return F.md5(F.to_json(F.array(name, other)))
 
 
-def professor_links(tables: Scratch, people: DataFrame, names: DataFrame, keys: DataFrame) -> DataFrame:
-    """``id_a, id_b``: pairs of professors rows of one person, the smaller id first."""
-    rows = people.select(F.col("professor_id").alias("id"), "name_id", "at")
-    met = Meeting(tables, rows, rows, keys, keys)
-    there = tables.written(met.at_place().where("id_a < id_b"), "at-place")
-    scores = tables.written(rated(there.select("name_a", "name_b").unionByName(tables.written(met.anywhere(), "anywhere")), names, names, 0.4), "scores")
-    a = rows.select(F.col("id").alias("id_a"), F.col("name_id").alias("name_a"), F.col("at").alias("at_a"))
-    b = rows.select(F.col("id").alias("id_b"), F.col("name_id").alias("name_b"), F.col("at").alias("at_b"))
-    lost = F.col("at_a.place").isNull() | F.col("at_b.place").isNull()
-    apart = scores.where(F.col("score") >= NO_PLACE).join(a, "name_a").join(b, "name_b").where(lost & (F.col("id_a") != F.col("id_b")))
-    apart = apart.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b")).distinct()
-    near = there.join(scores.where(F.col("score") >= SAME_PLACE), ["name_a", "name_b"]).select("id_a", "id_b")
-    ids = people.select("professor_id", "orcid", "scholar")
-    x = ids.select(*(F.col(c).alias(f"{c}_a") for c in ids.columns))
-    y = ids.select(*(F.col(c).alias(f"{c}_b") for c in ids.columns))
-    by_name = near.unionByName(apart).distinct().join(x, F.col("id_a") == F.col("professor_id_a")).join(y, F.col("id_b") == F.col("professor_id_b"))
-    agree = lambda f: F.coalesce(f("orcid"), F.lit(False)) | F.coalesce(f("scholar"), F.lit(False))
-    same = agree(lambda c: F.col(f"{c}_a") == F.col(f"{c}_b"))
-    other = agree(lambda c: F.col(f"{c}_a") != F.col(f"{c}_b"))
-    by_name = by_name.where(same | ~other).select("id_a", "id_b")
-    # rows with an equal identifier need less of a name, but one that is near, and no other institution
-    marked = rows.join(people.select(F.col("professor_id").alias("id"), F.explode(F.array_compact(F.array(F.concat(F.lit("o"), "orcid"), F.concat(F.lit("s"), "scholar")))).alias("mark")), "id")
-    a = met.with_near_words(marked, keys).select(F.col("id").alias("id_a"), F.col("name_id").alias("name_a"), F.col("at").alias("at_a"), F.col("mark").alias("mark_a"), "near")
-    b = marked.join(keys.select("name_id", "word").distinct(), "name_id").select(F.col("id").alias("id_b"), F.col("name_id").alias("name_b"), F.col("at").alias("at_b"), "mark", "word")
-    by_id = a.join(b, (F.col("mark_a") == F.col("mark")) & (F.col("near") == F.col("word")) & (F.col("id_a") < F.col("id_b"))).select("id_a", "id_b", "name_a", "name_b", "at_a", "at_b").distinct()
-    by_id = by_id.join(met.places, (F.col("at_a") == F.col("at")) & (F.col("at_b") == F.col("other")), "left").where(lost | F.col("at").isNotNull())
-    by_id = tables.written(by_id.select("id_a", "id_b", "name_a", "name_b"), "by-id")
-    by_id = by_id.join(rated(by_id, names, names, 0.4), ["name_a", "name_b"]).select("id_a", "id_b")
-    return by_name.unionByName(by_id).distinct()
+def _identifiers(people: DataFrame) -> DataFrame:
+    """``id, mark``: each identifier of a professors row."""
+    return people.select(F.col("professor_id").alias("id"), F.explode(F.array_compact(F.array(F.concat(F.lit("o"), "orcid"), F.concat(F.lit("s"), "scholar")))).alias("mark"))
 
 
 def author_links(professors: DataFrame, departments: DataFrame | None, authorships: DataFrame) -> DataFrame:
@@ -265,44 +242,73 @@ def author_links(professors: DataFrame, departments: DataFrame | None, authorshi
     spark = professors.sparkSession
     with Scratch(spark) as tables:
         people = roster(professors, departments).withColumn("name_id", name_id(F.col("name"), F.col("other")))
-        people = tables.written(people, "roster")
-        givens = tables.written(given_words(professors), "givens")
-        names = tables.written(names_of(people), "names")
-        keys = tables.written(spelled(names, givens), "professor-keys")
-        links = tables.written(professor_links(tables, people, names, keys), "professor-links")
-
+        people = tables.written(people.select("professor_id", F.col("professor_id").cast("string").alias("id"), "name_id", "name", "other", "at", "orcid", "scholar"), "roster")
         place = F.when(F.trim("institution") != "", F.col("institution"))
         rows = authorships.where("professor_id is null and author_name_as_published is not null").select("authorship_id", F.col("author_name_as_published").alias("name"), place.alias("place")).dropDuplicates(["authorship_id"])
         rows = tables.written(rows.withColumn("id", name_id(F.col("name"), F.col("place"))), "unresolved")
         own = with_place(rows.groupBy("id").agg(F.min("name").alias("name"), F.min("place").alias("place"))).withColumn("other", F.lit(None).cast("string"))
-        own = tables.written(own.withColumn("name_id", name_id(F.col("name"), F.col("other"))), "spelled")
-        own_names = tables.written(names_of(own), "author-names")
-        own_keys = tables.written(spelled(own_names, givens), "author-keys")
-
-        # the person of a row: the smallest id it is linked to
-        first = links.groupBy(F.col("id_b").alias("professor_id")).agg(F.min("id_a").alias("first"))
-        known = people.select("professor_id", "name_id", "at").join(first, "professor_id", "left").withColumn("person", F.coalesce("first", "professor_id"))
-        known = tables.written(known.select("professor_id", "name_id", "at", "person"), "known")
-        met = Meeting(tables, own.select("id", "name_id", "at"), known.select(F.col("professor_id").alias("id"), "name_id", "at"), own_keys, keys)
-        there = tables.written(met.at_place(), "at-place")
-        anywhere = tables.written(met.anywhere(), "anywhere")
-        scores = tables.written(rated(there.select("name_a", "name_b").unionByName(anywhere), own_names, names, SAME_PLACE), "scores")
-
-        # people by spelling; of a spelling that many people have it is enough that there are two
-        near = there.join(scores, ["name_a", "name_b"]).join(known.select(F.col("professor_id").alias("id_b"), "person"), "id_b")
-        near = near.select("id_a", (F.col("score") + 2.0).alias("rank"), F.col("person").alias("low"), F.col("person").alias("high"))
-        owners = known.groupBy(F.col("name_id").alias("name_b"), F.col("at.place").isNull().alias("lost_b")).agg(F.min("person").alias("low"), F.max("person").alias("high"))
-        asked = own.select(F.col("id").alias("id_a"), F.col("name_id").alias("name_a"), F.col("at.place").isNull().alias("lost_a"))
-        fits = scores.where(F.col("score") >= NO_PLACE).join(owners, "name_b").join(asked, "name_a").where("lost_a or lost_b")
-        fits = fits.select("id_a", F.col("score").alias("rank"), "low", "high")
-        both = near.unionByName(fits)
-        best = both.groupBy("id_a").agg(F.max("rank").alias("best"))
-        top = both.join(best, "id_a").where("rank >= best - 0.001").groupBy("id_a").agg(F.min("low").alias("person"), F.max("high").alias("high")).where("person = high")
-        top = tables.written(top.select("id_a", "person"), "chosen")
-        # all rows of the person that fit
-        rows_of = top.join(known.select("professor_id", "name_id", "at", "person"), "person").join(asked, "id_a")
-        good = rows_of.join(scores, (scores.name_a == rows_of.name_a) & (scores.name_b == rows_of.name_id)).where((F.col("score") >= NO_PLACE) & (F.col("lost_a") | F.col("at.place").isNull())).select("id_a", "professor_id")
-        placed = top.join(there.join(scores, ["name_a", "name_b"]).select("id_a", F.col("id_b").alias("professor_id")), "id_a").join(known.select("professor_id", F.col("person").alias("own")), "professor_id").where("own = person").select("id_a", "professor_id")
-        chosen = good.unionByName(placed).distinct()
-        found = rows.join(chosen, rows.id == chosen.id_a).select(F.lit("authorship").alias("link_kind"), F.col("authorship_id").alias("id_a"), F.col("professor_id").alias("id_b"))
+        own = own.withColumn("name_id", name_id(F.col("name"), F.col("other")))
+        # side a: the unresolved spellings, and the professors rows themselves
+        parts = ["id", "name_id", "name", "other", "at"]
+        sides = tables.written(own.select(*parts, F.lit(True).alias("author")).unionByName(people.select(*parts, F.lit(False).alias("author"))), "sides")
+        names = tables.written(names_of(sides), "names")
+        keys = tables.written(spelled(names, given_words(professors)), "keys")
+        met = Meeting(tables, sides, people, keys)
+        marks = _identifiers(people).withColumn("id", F.col("id").cast("string"))
+        there = tables.written(met.at_place((marks, marks)), "at-place")
+        scores = tables.written(rated(there.select("name_a", "name_b").unionByName(tables.written(met.anywhere(), "anywhere")), names, 0.4), "scores")
+        asked = sides.select(F.col("id").alias("id_a"), F.col("name_id").alias("name_a"), F.col("at.place").isNull().alias("lost_a"), "author")
+        links = tables.written(_professor_links(people, met, there, asked, scores), "professor-links")
+        found = rows.join(_chosen(tables, people, there, asked, scores, links), rows.id == F.col("id_a"))
+        found = found.select(F.lit("authorship").alias("link_kind"), F.col("authorship_id").alias("id_a"), F.col("professor_id").alias("id_b"))
         return written(found.unionByName(links.select(F.lit("professor").alias("link_kind"), "id_a", "id_b")), "links")
+
+
+def _professor_links(people: DataFrame, met: Meeting, there: DataFrame, asked: DataFrame, scores: DataFrame) -> DataFrame:
+    """``id_a, id_b``: pairs of professors rows of one person, the smaller id first.
+
+    Rows with an equal identifier need less of a name, but one that is near, and no other institution.
+    """
+    b = people.select(F.col("id").alias("id_b"), F.col("name_id").alias("name_b"), F.col("at.place").isNull().alias("lost_b"))
+    own = asked.where("not author").select("id_a", "name_a", "lost_a")
+    lost = F.col("lost_a") | F.col("lost_b")
+    apart = scores.where(F.col("score") >= NO_PLACE).join(own, "name_a").join(b, "name_b").where(lost).select("id_a", "id_b", F.lit(True).alias("ok"))
+    near = there.join(scores, ["name_a", "name_b"]).join(own.select("id_a"), "id_a", "left_semi").select("id_a", "id_b", (F.col("placed") & (F.col("score") >= SAME_PLACE)).alias("ok"))
+    pairs = near.unionByName(apart).select(F.col("id_a").try_cast("bigint").alias("x"), F.col("id_b").try_cast("bigint").alias("y"), "ok").where("x <> y")
+    pairs = pairs.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"), "ok").groupBy("id_a", "id_b").agg(F.max("ok").alias("ok"))
+    ids = people.select("professor_id", "orcid", "scholar", "at")
+    x = ids.select(*(F.col(c).alias(f"{c}_a") for c in ids.columns))
+    y = ids.select(*(F.col(c).alias(f"{c}_b") for c in ids.columns))
+    both = pairs.join(x, F.col("id_a") == F.col("professor_id_a")).join(y, F.col("id_b") == F.col("professor_id_b"))
+    both = both.join(met.places, (F.col("at_a") == F.col("at")) & (F.col("at_b") == F.col("other")), "left")
+    agree = lambda f: F.coalesce(f("orcid"), F.lit(False)) | F.coalesce(f("scholar"), F.lit(False))
+    same = agree(lambda c: F.col(f"{c}_a") == F.col(f"{c}_b"))
+    other = agree(lambda c: F.col(f"{c}_a") != F.col(f"{c}_b"))
+    elsewhere = F.col("at_a.place").isNotNull() & F.col("at_b.place").isNotNull() & F.col("at").isNull()
+    return both.where((F.col("ok") & (same | ~other)) | (same & ~elsewhere)).select("id_a", "id_b")
+
+
+def _chosen(tables: Scratch, people: DataFrame, there: DataFrame, asked: DataFrame, scores: DataFrame, links: DataFrame) -> DataFrame:
+    """``id_a, professor_id``: the person of each unresolved spelling, all rows of the person that fit.
+
+    Of a spelling that many people have it is enough to know that there are two.
+    """
+    # the person of a row: the smallest id it is linked to
+    first = links.groupBy(F.col("id_b").alias("professor_id")).agg(F.min("id_a").alias("first"))
+    known = people.select("professor_id", "id", "name_id", F.col("at.place").isNull().alias("lost_b")).join(first, "professor_id", "left").withColumn("person", F.coalesce("first", "professor_id"))
+    known = tables.written(known.drop("first"), "known")
+    asked = asked.where("author").drop("author")
+    good = scores.where(F.col("score") >= SAME_PLACE)
+    near = there.where("placed").join(asked.select("id_a"), "id_a", "left_semi").join(good, ["name_a", "name_b"]).join(known.select(F.col("id").alias("id_b"), "professor_id", "person"), "id_b")
+    near = near.select("id_a", (F.col("score") + 2.0).alias("rank"), F.col("person").alias("low"), F.col("person").alias("high"), "professor_id")
+    owners = known.groupBy(F.col("name_id").alias("name_b"), "lost_b").agg(F.min("person").alias("low"), F.max("person").alias("high"))
+    fits = good.where(F.col("score") >= NO_PLACE).join(owners, "name_b").join(asked, "name_a").where("lost_a or lost_b")
+    fits = fits.select("id_a", F.col("score").alias("rank"), "low", "high", F.lit(None).cast("bigint").alias("professor_id"), "name_b", "lost_b")
+    ranked = near.select("id_a", "rank", "low", "high", "professor_id", F.lit(None).cast("string").alias("name_b"), F.lit(None).cast("boolean").alias("lost_b"))
+    ranked = tables.written(ranked.unionByName(fits), "ranked")
+    best = ranked.groupBy("id_a").agg(F.max("rank").alias("best"))
+    top = ranked.join(best, "id_a").where("rank >= best - 0.001").groupBy("id_a").agg(F.min("low").alias("person"), F.max("high").alias("high")).where("person = high").select("id_a", "person")
+    own = tables.written(ranked.where("low = high").join(top, "id_a").where("low = person").select("id_a", "professor_id", "name_b", "lost_b"), "own")
+    rows_of = known.select(F.col("name_id").alias("name_b"), "lost_b", "professor_id")
+    by_name = own.where("professor_id is null").select("id_a", "name_b", "lost_b").join(rows_of, ["name_b", "lost_b"]).select("id_a", "professor_id")
+    return own.where("professor_id is not null").select("id_a", "professor_id").unionByName(by_name).distinct()

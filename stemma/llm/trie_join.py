@@ -11,8 +11,11 @@ automaton (a swap counts as one edit) that leaves a branch as soon as nothing in
 all pairs within the edits allowed for the word are found: two from seven letters, one from three.
 Words of one or two letters match only themselves, since one edit makes any of them any other.
 
-Shards are cut to a bounded number of words on both sides, whatever the letters' frequencies, and
-several small ones go to one task.
+Where both columns come with a group in which alone they may meet (``by``, such as an institution),
+a group is one shard, for a group's dictionary is short.
+
+Shards are cut to a bounded number of words on both sides, whatever the letters' frequencies and the
+sizes of the groups, and several small ones go to one task.
 """
 
 from __future__ import annotations
@@ -170,9 +173,11 @@ def _piece_keys(word: Column, sizes: Column, moves: tuple[int, ...]) -> Column:
     return F.flatten(F.transform(sizes, keys))
 
 
-def _shards(words: DataFrame, word: str, shard: str, reach: int, most: int) -> DataFrame:
+def _shards(words: DataFrame, word: str, shard: str, reach: int, most: int, by: str | None) -> DataFrame:
     """One row a word and shard; ``reach``: how far the length of a partner may be from the own one, 0 for the dictionary."""
     w, n = F.col(word), F.length(word)
+    if by:
+        return words.where(n >= SHORTEST).select(word, F.col(by).alias(shard))
     sizes = lambda k: F.filter(F.sequence(n - k, n + k), lambda x: x >= SHORTEST)
     if most < 2:
         keys = _half_keys(w, sizes(min(reach, 1)))
@@ -184,9 +189,9 @@ def _shards(words: DataFrame, word: str, shard: str, reach: int, most: int) -> D
     return words.where(n >= SHORTEST).select(word, F.explode(F.array_distinct(keys)).alias(shard))
 
 
-def _join(probes: pd.DataFrame, words: pd.DataFrame, most: int) -> pd.DataFrame:
+def _join(probes: pd.DataFrame, words: pd.DataFrame, most: int, by: bool) -> pd.DataFrame:
     """Pairs of all shards of one task."""
-    out: list[tuple[str, str, int]] = []
+    out: list[tuple[str | None, str, str, int]] = []
     if len(probes) and len(words):
         entries: dict[str, list[str]] = {}
         for shard, v in zip(words["w_shard"].tolist(), words["entry"].tolist()):
@@ -196,32 +201,35 @@ def _join(probes: pd.DataFrame, words: pd.DataFrame, most: int) -> pd.DataFrame:
             if shard in entries:
                 asked.setdefault(shard, []).append(w)
         for shard, own in asked.items():
-            if shard[0] in ">]":
-                root = trie([v[::-1] for v in entries[shard]])
-                for w in own:
-                    out += [(w, v[::-1], d) for v, d in near(w[::-1], root, allowed(w, most)) if d]
-            else:
-                root = trie(entries[shard])
-                for w in own:
-                    out += [(w, v, d) for v, d in near(w, root, allowed(w, most)) if d]
-    return pd.DataFrame(out, columns=["probe", "word", "distance"]).astype({"distance": "int32"})
-
-
-def near_words(probes: DataFrame, words: DataFrame, most: int = 2, limit: int = SHARD_WORDS) -> DataFrame:
+            back = not by and shard[0] in ">]"
+            turn = (lambda x: x[::-1]) if back else (lambda x: x)
+            group = shard if by else None
+            root = trie([turn(v) for v in entries[shard]])
+            for w in own:
+                out += [(group, w, turn(v), d) for v, d in near(turn(w), root, allowed(w, most)) if d]
+    return pd.DataFrame(out, columns=["by", "probe", "word", "distance"]).astype({"distance": "int32"})
+
+
+def near_words(probes: DataFrame, words: DataFrame, most: int = 2, limit: int = SHARD_WORDS, by: str | None = None) -> DataFrame:
     """``probe, word, distance`` for all words (column ``word`` of both) within ``most`` edits (at most two), or
-    as many as are ``allowed`` for the probe; each pair once.
+    as many as are ``allowed`` for the probe; each pair once. With ``by`` (a string column of both) also
+    ``by``: only words of equal ``by`` meet, each pair once for each of them.
 
-    Both sides are made distinct first. Null and empty words match nothing.
+    Both sides are made distinct first. Null and empty words match nothing, nor does a null ``by``.
     """
-    p = probes.select("word").where("word <> ''").distinct()
-    w = words.select(F.col("word").alias("entry")).where("entry <> ''").distinct()
-    exact = p.join(w, F.col("word") == F.col("entry")).select(F.col("word").alias("probe"), F.col("entry").alias("word"), F.lit(0).alias("distance"))
-    ps, ws = _shards(p, "word", "p_shard", most, most), _shards(w, "entry", "w_shard", 0, most)
+    group = [by] if by else []
+    p = probes.select("word", *group).where("word <> ''").distinct()
+    w = words.select(F.col("word").alias("entry"), *(F.col(g).alias("w_by") for g in group)).where("entry <> ''").distinct()
+    on = F.col("word") == F.col("entry")
+    own = F.col(by) if by else F.lit(None).cast("string")
+    exact = p.join(w, on & (F.col(by) == F.col("w_by")) if by else on).select(own.alias("by"), F.col("word").alias("probe"), F.col("entry").alias("word"), F.lit(0).alias("distance"))
+    ps, ws = _shards(p, "word", "p_shard", most, most, by), _shards(w, "entry", "w_shard", 0, most, "w_by" if by else None)
     tasks = 2 * int(p.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     # how many pieces each shard is cut into, on either side
-    n_words = ws.groupBy(F.col("w_shard").alias("shard")).agg(F.ceil(F.count(F.lit(1)) / limit).cast("int").alias("n_words"))
-    n_probes = ps.groupBy(F.col("p_shard").alias("shard_p")).agg(F.ceil(F.count(F.lit(1)) / limit).cast("int").alias("n_probes"))
-    pieces = n_words.join(n_probes, F.col("shard") == F.col("shard_p")).select("shard", "n_words", "n_probes")
+    sizes = ws.select(F.col("w_shard").alias("shard"), F.lit(1).alias("w"), F.lit(0).alias("p")).unionByName(ps.select(F.col("p_shard").alias("shard"), F.lit(0).alias("w"), F.lit(1).alias("p")))
+    sizes = sizes.groupBy("shard").agg(F.ceil(F.sum("w") / limit).cast("int").alias("n_words"), F.ceil(F.sum("p") / limit).cast("int").alias("n_probes"))
+    # only shards of both sides, and of those that are cut the numbers of pieces
+    pieces = sizes.where("n_words > 0 and n_probes > 0")
 
     def cut(rows: DataFrame, word: str, shard: str, own: str, others: str, names: tuple[str, str]) -> DataFrame:
         near = rows.join(pieces, F.col(shard) == F.col("shard"))
@@ -233,6 +241,9 @@ def near_words(probes: DataFrame, words: DataFrame, most: int = 2, limit: int =
         # the rows are few bytes and much work: partitions of this number are not coalesced
         cut_probes.repartition(tasks, "p_task", "p_own", "p_other").groupBy("p_task", "p_own", "p_other")
         .cogroup(cut_words.repartition(tasks, "w_task", "w_other", "w_own").groupBy("w_task", "w_other", "w_own"))
-        .applyInPandas(lambda x, y: _join(x, y, most), "probe string, word string, distance int")
+        .applyInPandas(lambda x, y: _join(x, y, most, bool(by)), "by string, probe string, word string, distance int")
     )
-    return exact.unionByName(close).groupBy("probe", "word").agg(F.min("distance").alias("distance"))
+    found = exact.unionByName(close)
+    if by:
+        return found.withColumnRenamed("by", by) if by != "by" else found  # a shard a group: each pair is found once
+    return found.groupBy("probe", "word").agg(F.min("distance").alias("distance"))

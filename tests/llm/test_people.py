@@ -51,6 +51,16 @@ def test_near_words_within_two_edits_against_brute_force(spark):
         assert got == want
 
 
+def test_near_words_by_group_against_brute_force(spark):
+    random.seed(6)
+    w = [("".join(random.choice("ab") for _ in range(random.randint(1, 9))), random.choice(["x", "y", ">", None])) for _ in range(200)]
+    df = spark.createDataFrame(w, "word string, place string")
+    ok = lambda a, b: a == b or min(len(a), len(b)) > 2 and N.edits(a, b, 2) <= (1 if len(a) < 7 else 2)
+    want = sorted((g, a, b, N.edits(a, b, 2)) for a, g in set(w) for b, h in set(w) if g and g == h and ok(a, b))
+    for limit in (20_000, 3):
+        assert sorted((r.place, r.probe, r.word, r.distance) for r in J.near_words(df, df, 2, limit, by="place").collect()) == want
+
+
 def test_near_words_in_both_halves_and_short(spark):
     pairs = [("bernhardsen", "barnhardson"), ("kowalskii", "cowalski"), ("villanueva", "vilanueba"), ("wang", "wamg"), ("cruz", "crux"), ("kim", "kin"), ("lee", "le"), ("ng", "nh")]
     a = spark.createDataFrame([(x,) for x, _ in pairs], "word string")
@@ -137,10 +147,10 @@ def test_candidates_against_all_pairs_and_a_hot_family_name(spark):
     p = spark.createDataFrame([(i, n, None, None, None, w, None, None, None, None) for i, n, w in professors], PROFESSOR)
     a = spark.createDataFrame([(i, None, n, w) for i, n, w in authors], "authorship_id long, professor_id long, author_name_as_published string, institution string")
     with Scratch(spark) as tables:
-        people = P.roster(p, None).withColumn("name_id", P.name_id(F.col("name"), F.col("other")))
-        own = P.with_place(a.select(F.col("authorship_id").alias("id"), F.col("author_name_as_published").alias("name"), F.lit(None).cast("string").alias("other"), F.col("institution").alias("place"))).withColumn("name_id", P.name_id(F.col("name"), F.col("other")))
-        givens = P.given_words(p)
-        met = P.Meeting(tables, own, people.withColumn("id", F.col("professor_id")), P.spelled(P.names_of(own), givens), P.spelled(P.names_of(people), givens))
+        parts = ["id", "name_id", "name", "other", "at"]
+        people = P.roster(p, None).withColumn("id", F.col("professor_id")).withColumn("name_id", P.name_id(F.col("name"), F.col("other"))).select(parts)
+        own = P.with_place(a.select(F.col("authorship_id").alias("id"), F.col("author_name_as_published").alias("name"), F.lit(None).cast("string").alias("other"), F.col("institution").alias("place"))).withColumn("name_id", P.name_id(F.col("name"), F.col("other"))).select(parts)
+        met = P.Meeting(tables, own, people, tables.written(P.spelled(P.names_of(own.unionByName(people)), P.given_words(p)), "keys"))
         placed = {(r.id_a, r.id_b) for r in met.at_place().collect()}
         text_a, text_b = {r.name_id: r.name for r in own.collect()}, {r.name_id: r.name for r in people.collect()}
         whole = [(text_a[r.name_a], text_b[r.name_b]) for r in met.anywhere().collect()]
