@@ -169,7 +169,7 @@ def edits(a: str, b: str, most: int = 2) -> int:
 
 
 def given_match(a: str, b: str) -> float:
-    """1 equal, 0.9 short form, 0.8 a typo, 0.5 initial, 0 different."""
+    """1 equal, 0.9 short form, 0.8 one typo, 0.5 initial, 0 different."""
     if a == b:
         return 1.0
     if len(a) == 1 or len(b) == 1:
@@ -181,9 +181,6 @@ def given_match(a: str, b: str) -> float:
         return 0.9
     if min(len(a), len(b)) >= 3 and edits(a, b, 1) <= 1:
         return 0.8
-    # a short form with a typo, or a long name with two
-    if min(len(a), len(b)) >= 7 and edits(a, b, 2) <= 2:
-        return 0.6
     return 0.0
 
 

@@ -21,7 +21,9 @@ from stemma.session import Scratch, spread, written
 
 #: Least name score with the same institution, and with an absent one.
 SAME_PLACE = 0.5
-NO_PLACE = 0.69
+NO_PLACE = 0.84
+#: Name score from which a name has no typo.
+NO_TYPO = 0.97
 #: Letters from which an institution's name may have a typo.
 LONG_PLACE = 5
 
@@ -139,7 +141,7 @@ def near_places(a: DataFrame, b: DataFrame) -> DataFrame:
 def near_givens(a: DataFrame, b: DataFrame) -> DataFrame:
     """``own, theirs``: full given names that are equal, nearly so, or one the short form of the other."""
     full = lambda k: k.where("length(given) > 1").select(F.col("given").alias("word"))
-    near = near_words(full(a), full(b), 2).select(F.col("probe").alias("own"), F.col("word").alias("theirs"))
+    near = near_words(full(a), full(b), 1).select(F.col("probe").alias("own"), F.col("word").alias("theirs"))
     short = [(k, n) for k, v in NICKNAMES.items() for n in v.split()]  # a fixed table
     table = a.sparkSession.createDataFrame(short + [(n, k) for k, n in short], "own string, theirs string")
     return near.unionByName(table).distinct()
@@ -236,8 +238,8 @@ def author_links(professors: DataFrame, departments: DataFrame | None, authorshi
     """``link_kind, id_a, id_b``: unresolved authorships with their professor, and professors rows of one person.
 
     An authorship delivered twice counts once; spellings are compared once however many rows have
-    them. A name that fits several people equally well and has no institution to tell is not linked.
-    Null and blank names are linked to nobody.
+    them. A name that fits several people equally well and has no institution to tell is not linked,
+    nor is one that fits only with a typo and is somebody's at another institution as it stands. Null and blank names are linked to nobody.
     """
     spark = professors.sparkSession
     with Scratch(spark) as tables:
@@ -259,7 +261,7 @@ def author_links(professors: DataFrame, departments: DataFrame | None, authorshi
         scores = tables.written(rated(there.select("name_a", "name_b").unionByName(tables.written(met.anywhere(), "anywhere")), names, 0.4), "scores")
         asked = sides.select(F.col("id").alias("id_a"), F.col("name_id").alias("name_a"), F.col("at.place").isNull().alias("lost_a"), "author")
         links = tables.written(_professor_links(people, met, there, asked, scores), "professor-links")
-        found = rows.join(_chosen(tables, people, there, asked, scores, links), rows.id == F.col("id_a"))
+        found = rows.join(_chosen(tables, people, met, there, asked, scores, links), rows.id == F.col("id_a"))
         found = found.select(F.lit("authorship").alias("link_kind"), F.col("authorship_id").alias("id_a"), F.col("professor_id").alias("id_b"))
         return written(found.unionByName(links.select(F.lit("professor").alias("link_kind"), "id_a", "id_b")), "links")
 
@@ -288,7 +290,7 @@ def _professor_links(people: DataFrame, met: Meeting, there: DataFrame, asked: D
     return both.where((F.col("ok") & (same | ~other)) | (same & ~elsewhere)).select("id_a", "id_b")
 
 
-def _chosen(tables: Scratch, people: DataFrame, there: DataFrame, asked: DataFrame, scores: DataFrame, links: DataFrame) -> DataFrame:
+def _chosen(tables: Scratch, people: DataFrame, met: Meeting, there: DataFrame, asked: DataFrame, scores: DataFrame, links: DataFrame) -> DataFrame:
     """``id_a, professor_id``: the person of each unresolved spelling, all rows of the person that fit.
 
     Of a spelling that many people have it is enough to know that there are two.
@@ -308,7 +310,21 @@ def _chosen(tables: Scratch, people: DataFrame, there: DataFrame, asked: DataFra
     ranked = tables.written(ranked.unionByName(fits), "ranked")
     best = ranked.groupBy("id_a").agg(F.max("rank").alias("best"))
     top = ranked.join(best, "id_a").where("rank >= best - 0.001").groupBy("id_a").agg(F.min("low").alias("person"), F.max("high").alias("high")).where("person = high").select("id_a", "person")
-    own = tables.written(ranked.where("low = high").join(top, "id_a").where("low = person").select("id_a", "professor_id", "name_b", "lost_b"), "own")
+    own = tables.written(ranked.where("low = high").join(top, "id_a").where("low = person").select("id_a", "professor_id", "name_b", "lost_b", "rank"), "own")
     rows_of = known.select(F.col("name_id").alias("name_b"), "lost_b", "professor_id")
-    by_name = own.where("professor_id is null").select("id_a", "name_b", "lost_b").join(rows_of, ["name_b", "lost_b"]).select("id_a", "professor_id")
+    by_name = own.where("professor_id is null").select("id_a", "name_b", "lost_b", "rank").join(rows_of, ["name_b", "lost_b"])
+    by_name = tables.written(by_name.join(asked, "id_a").select("id_a", "professor_id", "rank", "name_a", "lost_a"), "by-name")
+    other = _namesakes(by_name.where(F.col("lost_a") & (F.col("rank") < NO_TYPO)), people, met, asked)
+    by_name = by_name.join(other, ["id_a", "professor_id"], "left_anti").select("id_a", "professor_id")
     return own.where("professor_id is not null").select("id_a", "professor_id").unionByName(by_name).distinct()
+
+
+def _namesakes(doubtful: DataFrame, people: DataFrame, met: Meeting, asked: DataFrame) -> DataFrame:
+    """``id_a, professor_id`` of links by a name with a typo, where somebody publishes under that very name at another institution."""
+    # by the longest family name of a name, not by a part of one
+    longest = met.keys.where("length(given) > 1").groupBy("name_id").agg(F.max(F.struct(F.length("word").alias("n"), "word", "given")).alias("k"))
+    full = longest.select("name_id", "k.word", "k.given")
+    theirs = asked.where("not lost_a").join(full, F.col("name_a") == F.col("name_id")).join(met.a.select(F.col("id").alias("id_a"), "at"), "id_a").select("word", "given", "at").distinct()
+    own = doubtful.join(full, F.col("name_a") == F.col("name_id")).join(people.where("at.place is not null").select("professor_id", F.col("at").alias("at_b")), "professor_id")
+    met_at = own.join(theirs, ["word", "given"]).join(met.places.select(F.col("at").alias("near"), F.col("other").alias("near_b")), (F.col("at") == F.col("near")) & (F.col("at_b") == F.col("near_b")), "left_anti")
+    return met_at.select("id_a", "professor_id").distinct()
