@@ -229,10 +229,10 @@ def video_id(c: Column | str) -> Column:
     return F.coalesce(F.nullif(in_url, F.lit("")), F.nullif(alone, F.lit("")))
 
 
-def file_name(*parts: Column | str, suffix: str = ".pdf", most: int = 120) -> Column:
+def file_name(*parts: Column | str, suffix: str = ".pdf") -> Column:
     """Parts without characters that file systems mind, joined by underscores."""
     clean = [F.nullif(F.regexp_replace(F.regexp_replace(col(p).cast("string"), r"[^A-Za-z0-9]+", "_"), r"^_+|_+$", ""), F.lit("")) for p in parts]
-    return F.concat(F.substring(F.concat_ws("_", *clean), 1, most), F.lit(suffix))
+    return F.concat(F.concat_ws("_", *clean), F.lit(suffix))
 
 
 def page_numbers(spec: Column | str, last: Column | int) -> Column:

@@ -22,8 +22,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 _ONE = b",;|\t\n\r\x0b\x0c"
-_MANY = tuple(x.encode() for x in ("，", "；", "、", "｜", "•", "●", "▪", "‣", "·", "・", "\u2028", "\u2029"))
-_SPACES = tuple(x.encode() for x in ("\u00a0", "\u3000", "\u2007", "\u2009", "\u202f", "\ufeff", "\u200b"))
+_MANY = tuple(x.encode() for x in ("，", "；", "、", "｜", "•", "●", "▪", "‣", "·", "・", "\u0085", "\u2028", "\u2029"))
+# every other wide white space of Unicode, and what has no width
+_SPACES = tuple(c.encode() for c in map(chr, range(0x80, 0x3001)) if c.isspace() and c.encode() not in _MANY) + tuple(x.encode() for x in ("\u200b", "\u2060", "\ufeff"))
 _LEADING = tuple(x.encode() for x in ("“", "‘", "«"))
 _TRAILING = tuple(x.encode() for x in ("”", "’", "»"))
 
@@ -41,6 +42,15 @@ def _at(buf: np.ndarray, pattern: bytes) -> np.ndarray:
     return hit
 
 
+def _all_bytes(buf: np.ndarray, wide: np.ndarray, pattern: bytes) -> np.ndarray:
+    """Places of all bytes of the pattern, which begins at one of ``wide`` (places that begin a character beyond ASCII)."""
+    at = wide[buf[wide] == pattern[0]]
+    for i in range(1, len(pattern)):
+        at = at[at + i < len(buf)]
+        at = at[buf[at + i] == pattern[i]]
+    return (at[:, None] + np.arange(len(pattern))).ravel()
+
+
 def _shift(mask: np.ndarray, by: int, fill: bool = False) -> np.ndarray:
     """``mask`` seen from ``by`` places later (by > 0: the value of an earlier place)."""
     out = np.full(len(mask), fill)
@@ -75,6 +85,51 @@ def _paired(opens: np.ndarray, closes: np.ndarray, row: np.ndarray) -> tuple[np.
     return o, c
 
 
+def _balanced(opens: np.ndarray, closes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Only those opening and closing marks that have a partner in their row, however deep they nest."""
+    places = np.flatnonzero(opens | closes)
+    step = np.where(opens[places], 1, -1)
+    for turn in (1, -1):  # closing marks without an opening one, then, from the end, the other way round
+        p, d = places[::turn], step[::turn] * turn
+        r = row[p]
+        if not len(p):
+            break
+        new = np.append(True, r[1:] != r[:-1])
+        total = np.cumsum(d)
+        level = total - (total - d)[np.maximum.accumulate(np.where(new, np.arange(len(p)), 0))]
+        group = np.cumsum(new) - 1
+        span = 2 * len(p) + 2
+        least = np.minimum.accumulate(np.minimum(level, 0) - group * span) + group * span
+        before = np.where(new, 0, np.append(0, least[:-1]))
+        lone = (d < 0) & (level < before)
+        places, step = p[~lone][::turn], step[::turn][~lone][::turn]
+    o, c = np.zeros(len(opens), bool), np.zeros(len(opens), bool)
+    o[places[step > 0]] = True
+    c[places[step < 0]] = True
+    return o, c
+
+
+def _in_turn(row: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Of numbers in order of place: those that count up from 1 in their row, each the first that continues the count."""
+    kept = np.zeros(len(row), bool)
+    order = np.argsort(value, kind="stable")
+    bounds = np.searchsorted(value[order], np.arange(1, len(row) + 2))
+    last: dict[str, np.ndarray] = {"row": np.unique(row), "at": np.full(len(np.unique(row)), -1)}
+    for v in range(1, len(row) + 1):
+        at = np.sort(order[bounds[v - 1] : bounds[v]])
+        i = np.searchsorted(last["row"], row[at])
+        there = (i < len(last["row"])) & (last["row"][np.minimum(i, len(last["row"]) - 1)] == row[at]) if len(last["row"]) else np.zeros(len(at), bool)
+        at, i = at[there], i[there]
+        good = at > last["at"][i]
+        rows, first = np.unique(row[at[good]], return_index=True)
+        if not len(rows):
+            break
+        chosen = at[good][first]
+        kept[chosen] = True
+        last = {"row": rows, "at": chosen}
+    return kept
+
+
 def _numbering(buf: np.ndarray, row: np.ndarray, first: np.ndarray, space: np.ndarray, delim: np.ndarray, free: np.ndarray) -> np.ndarray:
     """Mask of all bytes of list numbers (``1.``, ``1)``, ``(1)``) that count up from 1 in their row."""
     n = len(buf)
@@ -88,12 +143,14 @@ def _numbering(buf: np.ndarray, row: np.ndarray, first: np.ndarray, space: np.nd
         return mask
     length = np.ones(len(s), np.int64)
     value = (buf[s] - 48).astype(np.int64)
-    for k in (1, 2):
+    for k in range(1, 18):  # as many digits as a count can have
         more = (s + k < n) & (length == k)
         i = np.minimum(s + k, n - 1)
         more &= digit[i] & (row[i] == row[s])
         value = np.where(more, value * 10 + buf[i] - 48, value)
         length += more
+        if not more.any():
+            break
     e = s + length
     inside = e < n
     ei = np.minimum(e, n - 1)
@@ -109,17 +166,8 @@ def _numbering(buf: np.ndarray, row: np.ndarray, first: np.ndarray, space: np.nd
     edge = (b == 0) | (row[bp] != row[s]) | space[bp] | delim[bp]
     ok = dot & spaced & edge & free[np.minimum(b, n - 1)] & free[s]
     s, e, b, value = s[ok], e[ok], b[ok], value[ok]
-    for _ in range(3):  # a number out of turn is no mark; then the others count anew
-        if not len(s):
-            return mask
-        r = row[s]
-        new = np.append(True, r[1:] != r[:-1])
-        begin = np.maximum.accumulate(np.where(new, np.arange(len(r)), 0))
-        turn = np.arange(len(r)) - begin + 1
-        keep = value == turn
-        if keep.all():
-            break
-        s, e, b, value = s[keep], e[keep], b[keep], value[keep]
+    turn = _in_turn(row[s], value)  # a number out of turn is no mark
+    s, e, b, value = s[turn], e[turn], b[turn], value[turn]
     # the first number must open the cell
     if len(s):
         r = row[s]
@@ -158,10 +206,10 @@ def split_values(cells: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
     space = (buf == 32) | ((buf >= 9) & (buf <= 13))
     wide_space = np.zeros(n, bool)
-    for w in _SPACES:
-        hit = _at(buf, w)
-        for i in range(len(w)):
-            wide_space |= _shift(hit, i)
+    wide = np.flatnonzero(buf >= 0xC2)
+    if len(wide):
+        for w in _SPACES:
+            wide_space[_all_bytes(buf, wide, w)] = True
     space |= wide_space
 
     delim = np.isin(buf, np.frombuffer(_ONE, np.uint8))
@@ -226,7 +274,7 @@ def split_values(cells: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
     up = (buf == 40) & ~quoted & ~marks
     down = (buf == 41) & ~quoted & ~marks
-    up_, down_ = _paired(up, down, row)
+    up_, down_ = _balanced(up, down, row)
     depth = np.cumsum(up_.astype(np.int64)) - np.cumsum(down_.astype(np.int64))
     guarded = quoted | (depth > 0) | down_
 

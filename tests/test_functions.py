@@ -80,10 +80,11 @@ def test_unicode(spark):
 
 @pytest.mark.parametrize(
     "formula,axis,at,by,want",
-    [("=A1+B5", "row", 3, 2, "=A1+B7"), ("=$B$5", "row", 5, -1, "=#REF!"), ("=B6", "row", 5, -1, "=B5"), ('="B9"&B9', "row", 2, 1, '="B9"&B10'), ("=SUM(Z1:AA1)", "column", 27, 1, "=SUM(Z1:AB1)"), ("=LOG10(A1)", "row", 1, 1, "=LOG10(A2)")],
+    [("=A1+B5", "row", 3, 2, "=A1+B7"), ("=$B$5", "row", 5, -1, "=#REF!"), ("=B6", "row", 5, -1, "=B5"), ('="B9"&B9', "row", 2, 1, '="B9"&B10'), ("=SUM(Z1:AA1)", "column", 27, 1, "=SUM(Z1:AB1)"), ("=LOG10(A1)", "row", 1, 1, "=LOG10(A2)"),
+     ("=SUM(A1:A10)", "row", 1, -2, "=SUM(A1:A8)"), ("=SUM(A3:A5)", "row", 3, -3, "=SUM(#REF!)"), ("=SUM(B$2:D4)", "column", 3, -2, "=SUM(B$2:B4)"), ("=Data!B7+'My Data'!B7+Other!B7", "row", 2, 1, "=Data!B8+'My Data'!B7+Other!B7"), ("=SUM(A:A)", "row", 1, 1, "=SUM(A:A)")],
 )
 def test_formulas_move(formula, axis, at, by, want):
-    assert U.shifted_formula(formula, axis, at, by) == want
+    assert U.shifted_formula(formula, axis, at, by, sheet="data") == want
 
 
 def test_geo(spark):

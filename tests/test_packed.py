@@ -13,6 +13,8 @@ CASES = [
     ("“n, d”|b", ["n, d", "b"]), ("1. a 2. b 3. c", ["a", "b", "c"]), ("(1) a, (2) b", ["a", "b"]), ("1) a; 2) b", ["a", "b"]), ("- a\n- b", ["a", "b"]), ("* a\r\n* b", ["a", "b"]), ("• a • b", ["a", "b"]), ("a · b", ["a", "b"]),
     ("a、b，c；d", ["a", "b", "c", "d"]), ("a<br>b<BR />c<br/>d", ["a", "b", "c", "d"]), ("pH (f, l);x", ["pH (f, l)", "x"]), ("a\tb", ["a", "b"]), ("", []), (None, []), (" ", []), (",;", []), ('["\\u03b4-x"]', ["δ-x"]), ("one", ["one"]),
     ("version 2. x", ["version 2. x"]), ("a (b, c", ["a (b", "c"]), ('5" pipe, x', ['5" pipe', "x"]), ("dup, dup", ["dup", "dup"]),
+    ("x (a (b, c), d), y", ["x (a (b, c), d)", "y"]), ("a) (b, (c, d)), e (f, g", ["a) (b, (c, d))", "e (f", "g"]), ("\u2003a\u2003, b\u205f;\u1680c", ["a", "b", "c"]), ("1. a 7. b 2. c 3. d", ["a 7. b", "c", "d"]), ("a\u0085b", ["a", "b"]),
+    (" ".join(f"{i}. v{i}" for i in range(1, 1001)), [f"v{i}" for i in range(1, 1001)]),
 ]
 
 
