@@ -6,12 +6,18 @@ pair of Bloom filters (hashes seen once, hashes seen repeatedly) is built in eac
 merged by ``(a1, a2) + (b1, b2) = (a1|b1, a2|b2|(a1&b1))``, which never loses a repeated hash. Only
 rows that the merged filter calls possible repeats are shuffled and grouped exactly; all others are
 emitted as groups of one where they stand.
+
+The filter has 16 to 32 bits a key whatever their number. It is cut by the hash's first bits into
+slices of a bounded size; each slice is one pass over the column of hashes, so neither memory nor
+what is sent at once grows with the table, and the share of single records that pass (under 14 in
+1000) stays the same. A partition's filters travel as the positions of their bits where these are few.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -21,13 +27,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stemma.llm.text_forms import reader_form
-from stemma.session import fed, written
+from stemma.session import Scratch, fed, written
 
-#: Bits of the largest filter: 2**27 bits are 16 MiB, the most that is ever sent to an executor.
-MAX_FILTER_BITS = 1 << 27
+#: Bits of the largest slice of the filter: 2**30 bits are 128 MiB, the most that is ever sent to an executor.
+SLICE_BITS = 1 << 30
 BITS_PER_KEY = 16
-PROBES = 4
-_CHUNK = 1 << 13  # words of 64 bits in a chunk, 64 KiB
+PROBES = 2
+_CHUNK_BITS = 1 << 16  # so that a position in a chunk has 16 bits
+_CHUNK = _CHUNK_BITS // 64
 
 _YEAR = r"(?:19|20)\d\d"
 _YEAR_FIRST = re.compile(rf"^[\s\W_]*?[\(\[]?({_YEAR})[\)\]]?(?:\s*[-–—.:|/,;_]+|\s)\s*(?=\S)")
@@ -62,9 +69,9 @@ def canonical_key(title: pd.Series, year: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"text": [k for k, _ in keys], "year": pd.array([y for _, y in keys], dtype="Int32")})
 
 
-def filter_bits(n: int, most: int = MAX_FILTER_BITS) -> int:
-    """A power of two of about 16 bits a key, at most ``most``. Beyond that more rows pass as possible repeats; none is lost."""
-    return min(most, max(1 << 16, 1 << (max(1, n * BITS_PER_KEY) - 1).bit_length()))
+def filter_bits(n: int) -> int:
+    """Bits of the whole filter: a power of two of at least 16 bits a key."""
+    return max(_CHUNK_BITS, 1 << (max(1, n * BITS_PER_KEY) - 1).bit_length())
 
 
 def _places(h: np.ndarray, bits: int) -> np.ndarray:
@@ -84,6 +91,20 @@ def _put(words: np.ndarray, places: np.ndarray) -> None:
     np.bitwise_or.at(words, (p >> np.uint64(6)).astype(np.int64), np.uint64(1) << (p & np.uint64(63)))
 
 
+def _packed(words: np.ndarray) -> bytes:
+    """A chunk as 16-bit positions of its bits, or as it is where that is shorter."""
+    at = np.flatnonzero(np.unpackbits(words.view(np.uint8), bitorder="little"))
+    return at.astype(np.uint16).tobytes() if 2 * len(at) < 8 * _CHUNK else words.tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    if len(raw) == 8 * _CHUNK:
+        return np.frombuffer(raw, np.uint64)
+    bits = np.zeros(_CHUNK_BITS, np.uint8)
+    bits[np.frombuffer(raw, np.uint16)] = 1
+    return np.packbits(bits, bitorder="little").view(np.uint64)
+
+
 def _partition_filters(bits: int):
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once = np.zeros(bits // 64, np.uint64)
@@ -94,10 +115,9 @@ def _partition_filters(bits: int):
             repeated = (n > 1) | _have(once, places)
             _put(again, places[:, repeated])
             _put(once, places)
-        for at in range(0, len(once), _CHUNK):
-            a, b2 = once[at : at + _CHUNK], again[at : at + _CHUNK]
-            if a.any():
-                yield pa.RecordBatch.from_arrays([pa.array([at // _CHUNK], pa.int32()), pa.array([a.tobytes()], pa.binary()), pa.array([b2.tobytes()], pa.binary())], ["chunk", "once", "again"])
+        for c in np.flatnonzero(once.reshape(-1, _CHUNK).any(axis=1)).tolist():
+            own = slice(c * _CHUNK, (c + 1) * _CHUNK)
+            yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([_packed(once[own])], pa.binary()), pa.array([_packed(again[own])], pa.binary())], ["chunk", "once", "again"])
 
     return build
 
@@ -106,35 +126,32 @@ def _merge_chunk(key: tuple, rows: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
     once = again = None
     for b in rows:
         for x, y in zip(b.column("once"), b.column("again")):
-            a, r = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+            a, r = _unpacked(x.as_py()), _unpacked(y.as_py())
             if once is None:
                 once, again = a.copy(), r.copy()
             else:
                 again |= r | (once & a)
                 once |= a
     if again is not None and again.any():
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([again.tobytes()], pa.binary())], ["chunk", "again"])
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([_packed(again)], pa.binary())], ["chunk", "again"])
 
 
-def repeat_filter(hashes: DataFrame, n: int, most: int = MAX_FILTER_BITS) -> np.ndarray:
-    """Merged filter of the hashes (column 0, bigint) that occur repeatedly.
+def repeat_filter(hashes: DataFrame, bits: int) -> np.ndarray:
+    """Merged filter, of ``bits`` bits, of the hashes (column 0, bigint) that occur repeatedly.
 
-    Its size is bounded by ``most`` bits whatever the number of rows; chunks without any set bit
-    are not sent. Partitions are first brought down to one a core, so that each core makes one pair.
+    Each partition makes one pair where it stands; chunks without any set bit are not sent.
     """
-    bits = filter_bits(n, most)
-    cores = hashes.sparkSession.sparkContext.defaultParallelism
-    parts = hashes.coalesce(max(1, cores)).mapInArrow(_partition_filters(bits), "chunk int, once binary, again binary")
+    parts = hashes.mapInArrow(_partition_filters(bits), "chunk int, once binary, again binary")
     merged = parts.groupBy("chunk").applyInArrow(_merge_chunk, "chunk int, again binary")
     words = np.zeros(bits // 64, np.uint64)
     for row in merged.toLocalIterator():
-        words[row.chunk * _CHUNK :][: len(row.again) // 8] = np.frombuffer(bytes(row.again), np.uint64)
+        words[row.chunk * _CHUNK :][:_CHUNK] = _unpacked(bytes(row.again))
     return words
 
 
 def possible_repeat(words: np.ndarray, spark: SparkSession):
     """Column function: whether the filter has the hash."""
-    shared = spark.sparkContext.broadcast(words)  # at most MAX_FILTER_BITS
+    shared = spark.sparkContext.broadcast(words)  # at most SLICE_BITS
 
     @F.pandas_udf(T.BooleanType())
     def has(h: pd.Series) -> pd.Series:
@@ -144,37 +161,53 @@ def possible_repeat(words: np.ndarray, spark: SparkSession):
     return has
 
 
-def keyed(papers: DataFrame, key: Column | None = None) -> DataFrame:
-    """``paper_id, text, year, h``: canonical text and year of each record and their hash, kept as a table."""
-    k = canonical_key(F.col("title"), F.col("publication_year")) if key is None else key
-    rows = fed(papers.select("paper_id", "title", "publication_year")).select("paper_id", k.alias("k")).select("paper_id", "k.text", "k.year")
-    return written(rows.withColumn("h", F.xxhash64("text", "year")), "keyed")
+def keyed(papers: DataFrame) -> DataFrame:
+    """``paper_id, text, year, h``: canonical text and year of each record and their hash.
+
+    ASCII titles of dated records never leave the JVM.
+    """
+    plain = F.coalesce(F.col("title").rlike(r"^[\x00-\x7f]*$"), F.lit(True)) & (F.col("publication_year").isNotNull() | F.col("title").isNull())
+    rows = fed(papers.select("paper_id", "title", "publication_year")).withColumn("plain", plain)
+    other = canonical_key(F.when(~F.col("plain"), F.col("title")), F.col("publication_year"))
+    own = F.struct(F.nullif(F.lower(F.regexp_replace("title", "[^A-Za-z0-9]", "")), F.lit("")).alias("text"), F.col("publication_year").cast("int").alias("year"))
+    rows = rows.select("paper_id", F.when(F.col("plain"), own).otherwise(other).alias("k")).select("paper_id", "k.text", "k.year")
+    return rows.withColumn("h", F.xxhash64("text", "year"))
 
 
-def copy_groups(papers: DataFrame, most: int = MAX_FILTER_BITS) -> DataFrame:
+def copy_groups(papers: DataFrame, slice_bits: int = SLICE_BITS) -> DataFrame:
     """``paper_id, group_id, n_copies`` for every record; ``group_id`` is the group's smallest id.
 
     Records with a null key are groups of one. A row delivered twice with one id counts once.
     A hot group is counted by partial aggregation, never collected into one task.
     """
-    rows = keyed(papers)
-    has_key = rows.where(F.col("text").isNotNull())
-    n = has_key.count()
-    words = repeat_filter(has_key.select("h"), n, most)
-    maybe = F.col("text").isNotNull() & possible_repeat(words, papers.sparkSession)(F.col("h"))
-    marked = rows.withColumn("maybe", maybe)
-    suspects = written(marked.where("maybe").select("paper_id", "text", "year").dropDuplicates(["paper_id"]), "suspects")
-    groups = suspects.groupBy("text", "year").agg(F.min("paper_id").alias("group_id"), F.count(F.lit(1)).alias("n_copies"))
-    # nulls of the year compare as equal
-    s, g = suspects.alias("s"), groups.alias("g")
-    exact = s.join(g, (F.col("s.text") == F.col("g.text")) & F.col("s.year").eqNullSafe(F.col("g.year"))).select("s.paper_id", "g.group_id", "g.n_copies")
-    alone = marked.where("not maybe").select("paper_id", F.col("paper_id").alias("group_id"), F.lit(1).cast("bigint").alias("n_copies"))
-    return exact.unionByName(alone)
+    spark = papers.sparkSession
+    with Scratch(spark) as tables:
+        rows = tables.written(keyed(papers), "keyed")
+        has_key = rows.where(F.col("text").isNotNull())
+        bits = filter_bits(has_key.count())
+        slices = max(1, bits // slice_bits)
+        first = (slices - 1).bit_length()
+        own_slice = F.shiftrightunsigned("h", 64 - first).cast("int") if first else F.lit(0)
+        marked = []
+        for n in range(slices):
+            own = has_key.where(own_slice == n) if first else has_key
+            maybe = possible_repeat(repeat_filter(own.select("h"), bits // slices), spark)
+            marked.append(tables.written(own.select("paper_id", "text", "year", maybe(F.col("h")).alias("maybe")), "marked"))
+        marked = reduce(DataFrame.unionByName, marked)
+        suspects = marked.where("maybe").select("paper_id", "text", "year").dropDuplicates(["paper_id"])
+        suspects = tables.written(suspects, "suspects")
+        groups = suspects.groupBy("text", "year").agg(F.min("paper_id").alias("group_id"), F.count(F.lit(1)).alias("n_copies"))
+        # nulls of the year compare as equal
+        s, g = suspects.alias("s"), groups.alias("g")
+        exact = s.join(g, (F.col("s.text") == F.col("g.text")) & F.col("s.year").eqNullSafe(F.col("g.year"))).select("s.paper_id", "g.group_id", "g.n_copies")
+        lone = marked.where("not maybe").select("paper_id").unionByName(rows.where("text is null").select("paper_id").distinct())
+        alone = lone.select("paper_id", F.col("paper_id").alias("group_id"), F.lit(1).cast("bigint").alias("n_copies"))
+        return written(exact.unionByName(alone), "groups")
 
 
 def copy_pairs(groups: DataFrame) -> DataFrame:
     """All pairs of each group, smaller id first, as the result's definition asks for."""
-    many = written(groups.where("n_copies > 1").select("group_id", "paper_id"), "members")
+    many = groups.where("n_copies > 1").select("group_id", "paper_id")
     a, b = many.alias("a"), many.alias("b")
     on = (F.col("a.group_id") == F.col("b.group_id")) & (F.col("a.paper_id") < F.col("b.paper_id"))
     return a.join(b, on).select(F.col("a.paper_id").alias("paper_id_a"), F.col("b.paper_id").alias("paper_id_b"))
@@ -191,7 +224,10 @@ def one_record_each(groups: DataFrame) -> DataFrame:
 STATUSES = ("DISCOVERED", "METADATA_FOUND", "ABSTRACT_FOUND", "FULL_TEXT_FOUND", "DOWNLOADED", "INGESTING", "PROCESSED", "VERIFIED")
 
 _PLACEHOLDER = r"(?i)^[\s\W_]*(n/?a|nan|none|null|nil|tb[ad]|pending|unknown|missing|-+|\.+|see (the )?(pdf|publisher|full text|paper|article)|(no )?(abstract|summary)( (text|is|was))?( (not|no longer|un))?[ -]?(available|missing|provided|found|present)?( (by|from|at|in) [\w ]+)?|(abstract|summary) (forthcoming|pending|to follow)|no (abstract|summary).{0,40})[\s\W_]*$"
-_NOTICE = r"(?i)(subscri(be|ption)|sign in|log ?in|register to|stores? small files|cookies?|help desk|repository desk|request access|export menu|save the citation|third party|cannot be shown|page keeps loading|through your library|enable javascript|purchase (access|this)|all rights reserved|access (denied|options)|terms of use|privacy policy)"
+# What pages say instead of an abstract. Whatever else they say is known by being said of many records.
+_NOTICE = r"(?i)(subscri(be|ption)|sign in|log ?in|register to|cookies?|request access|through your library|enable javascript|purchase (access|this)|all rights reserved|access (denied|options)|terms of use|privacy policy)"
+#: Records whose abstracts hold the same sentence (of three words or more, without digits) from which it is a notice.
+BOILERPLATE = 5
 _CUT = r"(?i)(…|\.\.+|\[\s*(…|\.\.\.|truncated|cut|more|continued)\s*\]?|[\(\[<]\s*(read |show |see )?(more|truncated|continued?|cont\.?d?)\s*[\)\]>]|(read|show|see) more)\s*$"
 
 
@@ -200,15 +236,33 @@ def whole_doi(doi: Column) -> Column:
     return F.coalesce(doi.rlike(r"(?i)(?:^|[\s:/])10\.\d{4,9}/[^\s/;,.][^\s]*"), F.lit(False))
 
 
-def whole_abstract(abstract: Column) -> Column:
-    """Whether the cell holds a whole abstract: not blank, cut, a placeholder or an access notice."""
+def _sentences(abstract: Column) -> Column:
+    return F.filter(F.split(F.regexp_replace(abstract, r"(?U)^\s+|\s+$", ""), r"(?<=[.!?。！？])\s*"), lambda x: F.length(F.trim(x)) > 0)
+
+
+def whole_abstract(abstract: Column, notices: Column) -> Column:
+    """Whether the cell holds a whole abstract: not blank, cut, a placeholder, or for the half of its sentences notices (``notices`` is their number)."""
     t = F.regexp_replace(abstract, r"(?U)^\s+|\s+$", "")
-    sentences = F.filter(F.split(t, r"(?<=[.!?。！？])\s*"), lambda x: F.length(F.trim(x)) > 0)
-    notices = F.size(F.filter(sentences, lambda x: x.rlike(_NOTICE)))
-    good = (F.length(t) > 0) & ~t.rlike(_PLACEHOLDER) & ~t.rlike(_CUT) & t.rlike(r"""[.!?。！？]["'”’»)\]]*$""") & (notices * 2 < F.size(sentences))
+    good = (F.length(t) > 0) & ~t.rlike(_PLACEHOLDER) & ~t.rlike(_CUT) & t.rlike(r"""[.!?。！？]["'”’»)\]]*$""") & (notices * 2 < F.size(_sentences(abstract)))
     return F.coalesce(good, F.lit(False))
 
 
+def notice_counts(papers: DataFrame, groups: DataFrame, boilerplate: int = BOILERPLATE) -> DataFrame:
+    """``paper_id, abstract, notices`` of the members of groups: how many sentences of the abstract are notices.
+
+    A sentence is one if it speaks of access, or if ``boilerplate`` records of different groups have it.
+    Sentences are counted over all records, by their hashes.
+    """
+    own = papers.where("abstract is not null").select("paper_id", "abstract").join(groups, "paper_id")
+    said = own.select("paper_id", "group_id", "n_copies", F.col("abstract"), F.explode(_sentences(F.col("abstract"))).alias("x"))
+    bare = F.lower(F.trim(F.regexp_replace("x", r"(?U)\W+", " ")))
+    countable = ~bare.rlike(r"\d") & (F.size(F.split(bare, " ")) >= 3)
+    said = said.select("paper_id", "group_id", "n_copies", F.xxhash64("abstract").alias("a"), F.when(countable, F.xxhash64(bare)).alias("s"), F.col("x").rlike(_NOTICE).alias("access"))
+    many = said.where("s is not null").select("s", "group_id").distinct().groupBy("s").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= boilerplate).select("s", F.lit(True).alias("many"))
+    judged = said.where("n_copies > 1").join(many, "s", "left")
+    return judged.groupBy("paper_id", "a").agg(F.sum((F.col("access") | F.coalesce("many", F.lit(False))).cast("int")).alias("notices"))
+
+
 def status_rank(status: Column) -> Column:
     """1 for the first state to 8 for the furthest; null for what is no state. Spelling is free."""
     folded = F.upper(F.regexp_replace(F.regexp_replace(status, r"(?U)^\W+|\W+$", ""), r"(?U)[\W_]+", "_"))
@@ -233,14 +287,16 @@ def survivors(papers: DataFrame, sources: DataFrame, groups: DataFrame) -> DataF
     """
     members = groups.where("n_copies > 1").select(F.col("paper_id").alias("member_id"), "group_id")
     ranks = sources.select(source_key(F.col("source_name")).alias("source_key"), "trust_rank").where("source_key is not null").groupBy("source_key").agg(F.min("trust_rank").alias("rank"))
+    notices = notice_counts(papers, groups).select(F.col("paper_id").alias("noticed"), "a", "notices")
     own = papers.select("paper_id", "updated_at", "doi", "abstract", "metadata_status", "source_name")
     own = own.join(members, own.paper_id == members.member_id)
+    own = own.join(notices, (F.col("paper_id") == F.col("noticed")) & (F.xxhash64("abstract") == F.col("a")), "left")
     judged = own.select(
         "paper_id",
         "group_id",
         "updated_at",
         whole_doi(F.col("doi")).alias("doi_ok"),
-        whole_abstract(F.col("abstract")).alias("abstract_ok"),
+        whole_abstract(F.col("abstract"), F.coalesce("notices", F.lit(0))).alias("abstract_ok"),
         status_rank(F.col("metadata_status")).alias("status"),
         source_key(F.col("source_name")).alias("source_key"),
     )
