@@ -123,9 +123,9 @@ def test_the_filter_grows_with_the_keys():
 
 
 def test_slices_of_the_filter_lose_nothing(spark):
-    rows = [_paper(i, f"title {i // 2}", 2000) for i in range(3000)]
-    full = C.copy_groups(_papers(spark, rows), slice_bits=1 << 14).where("n_copies = 2").count()
-    assert full == 3000
+    rows = [_paper(i, f"title {i // 2}", 2000) for i in range(9000)]
+    full = C.copy_groups(_papers(spark, rows), slice_bits=1 << 16).where("n_copies = 2").count()
+    assert full == 9000
 
 
 GOOD = "A whole abstract stands here. It has two sentences."
