@@ -1,18 +1,19 @@
 """Encoding of a corpus with a byte-level BPE vocabulary, as a bounded-lookahead transducer.
 
-A text is read in windows. Tokens are emitted as soon as they are stable, which is the case
+Every text is read in windows. Tokens are emitted as soon as they are stable, which is the case
 
 * for all text before the last white space that follows a non-space: no token of the pre-tokenizer's
   pattern holds a space after a non-space, so a look ahead of one character is enough there;
-* in a run without white space, for all its pre-tokens but those next to the open end; and
+* in a run without white space, for all pre-tokens that end before the open end: what follows can
+  change only a pre-token that touches the end, or an apostrophe less than three characters before it; and
 * inside a single long pre-token, for the tokens that every continuation shares. With BPE the
   encoding of a prefix without its last token is the encoding of the shorter prefix, so the
   encodings of all prefixes form a tree. A token ends at most ``lookahead`` bytes after it began
-  (the longest token of the merge list), so only the tree's last ``lookahead`` ends can grow, and
-  what lies before their common ancestor is final.
+  (worked out from the merge list: its longest product), so only the tree's last ``lookahead`` ends
+  can grow, and what lies before their common ancestor is final.
 
-So memory is constant whatever the length of a text. Windows of stable text, in which nearly all of
-a corpus lies, go to the library's encoder in one call each.
+So memory is constant whatever the length of a text, also of one pre-token. The merges between two
+stable borders are done by the library's encoder; those of a long pre-token by the transducer.
 
 ``decode`` is the way back: an incremental state machine from bytes to text.
 """
@@ -24,6 +25,7 @@ import codecs
 import functools
 import os
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -36,7 +38,7 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 FOLDER = "/opt/tokenizers"
 #: Fixed value: the pre-tokenizer's pattern of this vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-WINDOW = 1 << 15
+WINDOW = 1 << 12
 LONG = 1 << 12  # bytes of a pre-token from which it is streamed
 
 
@@ -52,6 +54,67 @@ def vocabulary_path(name: str = VOCABULARY, folder: str | None = None) -> str:
         return os.path.join(FOLDER, name)
 
 
+_SPACE, _LETTER, _NUMBER, _OTHER = (regex.compile(p) for p in (r"\s+", r"\p{L}+", r"\p{N}+", r"[^\s\p{L}\p{N}]+"))
+_SPACE_AFTER = regex.compile(r"(?r)(?<=\S)\s")
+#: Characters of the longest contraction of the pattern, which decide what an apostrophe begins.
+_CONTRACTION = 3
+
+
+class _Pretoken:
+    """One pre-token that is given piece by piece."""
+
+    def __init__(self, transducer: Transducer):
+        self.t = transducer
+        self.text = bytearray()
+        # ends: position -> (last token, position before it); ``base`` is the end of what was emitted
+        self.ends: dict[int, tuple[int, int]] = {0: (-1, 0)}
+        self.base = self.at = 0
+
+    def push(self, chunk: bytes) -> Iterator[int]:
+        t, ends, text = self.t, self.ends, self.text
+        text += chunk
+        while self.at < self.base + len(text):
+            self.at += 1
+            at = self.at
+            for size, token in t._endings(text, at - self.base):
+                if at - size not in ends:
+                    continue
+                before = ends[at - size][0]
+                if before < 0 or t._beside(before, token):
+                    ends[at] = (token, at - size)
+                    break
+            else:
+                raise ValueError("a byte without a token")
+            if at % 256 == 0 and at - self.base > 4 * t.lookahead:
+                root = self._ancestor()
+                if root > self.base:
+                    path = self._path(root)
+                    yield from path
+                    del text[: root - self.base]
+                    ends = self.ends = {p: v for p, v in ends.items() if p > root}
+                    ends[root] = (path[-1], root)
+                    self.base = root
+
+    def close(self) -> Iterator[int]:
+        yield from self._path(self.at)
+
+    def _ancestor(self) -> int:
+        """The last end that all ends which can still grow go back to."""
+        live = {p for p in range(max(self.base, self.at - self.t.lookahead + 1), self.at + 1) if p in self.ends}
+        while len(live) > 1:
+            p = max(live)
+            live.discard(p)
+            live.add(self.ends[p][1] if p > self.base else self.base)
+        return live.pop()
+
+    def _path(self, p: int) -> list[int]:
+        out = []
+        while p > self.base:
+            token, p = self.ends[p]
+            out.append(token)
+        return out[::-1]
+
+
 class Transducer:
     """Streaming encoder over one vocabulary."""
 
@@ -66,6 +129,9 @@ class Transducer:
         self._cut: dict[int, tuple[int, int] | None] = {}
         self._known: dict[tuple[int, int], bool] = {}
         self._backwards: dict | None = None
+        self._long_run = regex.compile(rf"\S{{{max(1, self.long // 4)}}}|\s{{{max(1, self.long // 4)}}}")
+        #: Characters held at once so far, at most.
+        self.most_held = 0
 
     # -- inside one long pre-token
 
@@ -135,94 +201,97 @@ class Transducer:
 
     def stream_bytes(self, chunks: Iterable[bytes]) -> Iterator[int]:
         """Tokens of one pre-token that is given piece by piece, each as soon as it is final."""
-        # ends: position -> (last token, position before it); position 0 is the last emitted end
-        text = bytearray()
-        ends: dict[int, tuple[int, int]] = {0: (-1, 0)}
-        base, at, last_out = 0, 0, -1
+        run = _Pretoken(self)
         for chunk in chunks:
-            text += chunk
-            while at < base + len(text):
-                at += 1
-                for size, token in self._endings(text, at - base):
-                    if at - size not in ends:
-                        continue
-                    before = ends[at - size][0]
-                    if before < 0 or self._beside(before, token):
-                        ends[at] = (token, at - size)
-                        break
-                else:
-                    raise ValueError("a byte without a token")
-                if at % 256 == 0 and at - base > 4 * self.lookahead:
-                    root = self._ancestor(ends, at, base)
-                    if root > base:
-                        path = self._path(ends, root, base)
-                        yield from path
-                        last_out = path[-1]
-                        del text[: root - base]
-                        ends = {p: v for p, v in ends.items() if p > root}
-                        ends[root] = (last_out, root)
-                        base = root
-        yield from self._path(ends, at, base)
-
-    def _ancestor(self, ends: dict[int, tuple[int, int]], at: int, base: int) -> int:
-        live = {p for p in range(max(base, at - self.lookahead + 1), at + 1) if p in ends}
-        while len(live) > 1:
-            p = max(live)
-            live.discard(p)
-            live.add(ends[p][1] if p > base else base)
-        return live.pop()
-
-    @staticmethod
-    def _path(ends: dict[int, tuple[int, int]], p: int, base: int) -> list[int]:
-        out = []
-        while p > base:
-            token, p = ends[p]
-            out.append(token)
-        return out[::-1]
+            yield from run.push(chunk)
+        yield from run.close()
 
     # -- whole texts
 
-    def _pretoken(self, piece: str) -> Iterator[int]:
+    def _whole(self, piece: str) -> Iterator[int]:
         raw = piece.encode("utf-8", "replace")
         if len(raw) <= self.long:
             yield from self.encoding.encode_ordinary(piece)
         else:
             yield from self.stream_bytes(raw[i : i + self.long] for i in range(0, len(raw), self.long))
 
-    def _stable(self, text: str) -> Iterator[int]:
-        """Tokens of text whose borders are final; a long run without white space goes pre-token by pre-token."""
-        if len(text) <= self.long // 4 or max(map(len, text.split(" "))) <= self.long // 4:
-            yield from self.encoding.encode_ordinary(text)
-        else:
-            for m in self.pattern.finditer(text):
-                yield from self._pretoken(m.group())
+    def _stable(self, text: str) -> Iterable[int]:
+        """Tokens of text between two stable borders. Long pre-tokens are streamed."""
+        if self._long_run.search(text) is None:
+            return self.encoding.encode_ordinary(text)
+        return chain.from_iterable(self._whole(m.group()) for m in self.pattern.finditer(text))
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of the text without special tokens; an empty or null text gives none."""
         if not text:
             return []
-        if len(text) <= self.window:
-            return list(self._stable(text))
         return list(self.stream(text[i : i + self.window] for i in range(0, len(text), self.window)))
 
     def stream(self, windows: Iterable[str]) -> Iterator[int]:
         """Ids of a text that is given window by window."""
-        held = ""
+        held, run, kind = "", None, None
         for w in windows:
             held += w
+            self.most_held = max(self.most_held, len(held))
+            if run is not None:
+                held, tokens, over = self._continued(held, run, kind)
+                yield from tokens
+                if not over:
+                    continue
+                yield from run.close()
+                run = None
             cut = self._last_border(held)
             if cut:
                 yield from self._stable(held[:cut])
                 held = held[cut:]
-        if held:
+            if len(held) > self.long:  # one open pre-token
+                run = _Pretoken(self)
+                kind = self._kind(held)
+                lead = held[:1] if kind is not _SPACE and held[0] == " " else ""
+                yield from run.push(lead.encode())
+                held, tokens, _ = self._continued(held[len(lead) :], run, kind)
+                yield from tokens
+        if run is not None:
+            yield from run.push(held.encode("utf-8", "replace"))
+            yield from run.close()
+        elif held:
             yield from self._stable(held)
 
     @staticmethod
-    def _last_border(text: str) -> int:
-        """Place of the last white space that follows a non-space; 0 if there is none."""
-        for m in regex.finditer(r"(?r)(?<=\S)\s", text):
-            return m.start()
-        return 0
+    def _kind(held: str) -> regex.Pattern:
+        """Characters that an open pre-token goes on with."""
+        first = held[1] if held[0] == " " and not held[1].isspace() else held[0]
+        return next(k for k in (_SPACE, _LETTER, _NUMBER, _OTHER) if k.match(first))
+
+    @staticmethod
+    def _continued(held: str, run: _Pretoken, kind: regex.Pattern) -> tuple[str, list[int], bool]:
+        """What is still held, the tokens that became final, and whether the pre-token is over.
+
+        The last of a run of white space belongs to what follows it, if anything does.
+        """
+        m = kind.match(held)
+        end = m.end() if m else 0
+        over = end < len(held)
+        if kind is _SPACE:
+            end = max(0, end - 1)
+        return held[end:], list(run.push(held[:end].encode("utf-8", "replace"))), over
+
+    def _last_border(self, text: str) -> int:
+        """Place before which all pre-tokens are final; 0 if there is none."""
+        cut = 0
+        for m in _SPACE_AFTER.finditer(text):
+            cut = m.start()
+            break
+        if len(text) - cut <= self.long:
+            return cut
+        tail = text[cut:]
+        for m in self.pattern.finditer(tail):
+            if m.end() == len(tail) or m.start() + _CONTRACTION > len(tail):
+                break
+            end = m.end()
+        else:
+            return cut
+        return cut + end if m.start() else cut
 
     def decode(self, ids: Iterable[int]) -> Iterator[str]:
         """Text of the ids, as far as their bytes are whole characters."""

@@ -170,7 +170,7 @@ def test_what_many_records_say_is_a_notice(spark):
     got = {r.paper_id: r.notices for r in C.notice_counts(papers, groups).collect()}
     assert got == {i: 2 for i in range(2, 16)}
     sources = spark.createDataFrame([], "source_name string, trust_rank int")
-    assert {r.paper_id for r in C.survivors(papers, sources, groups).where("field_name = 'abstract'").collect()} == {13, 15} | set()
+    assert {r.paper_id for r in C.survivors(papers, sources, groups).where("field_name = 'abstract'").collect()} == {13, 14}  # of equally good ones the smaller id
 
 
 def test_spelling_groups_and_found(spark):

@@ -43,6 +43,24 @@ def test_one_long_pretoken_is_streamed(transducer):
         assert transducer.encode(text) == transducer.encoding.encode_ordinary(text)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.text(st.sampled_from("ab'se ll  \n日-1é"), max_size=300), st.integers(1, 40))
+def test_borders_within_runs_are_final(transducer, text, window):
+    t = E.Transducer.__new__(E.Transducer)
+    t.__dict__ = transducer.__dict__ | {"long": 8}
+    windows = [text[i : i + window] for i in range(0, len(text), window)]
+    assert list(t.stream(windows)) == transducer.encoding.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("letters,n", [("学习研究模型数据", 60_000), ("a", 60_000), ("xy,", 60_000), (" ", 20_000), ("\n ", 20_000), ("0", 20_000), ("=-'s", 60_000)])
+def test_held_text_is_bounded(letters, n):
+    t = E.Transducer(E.vocabulary_path())
+    random.seed(2)
+    text = "".join(random.choice(letters) for _ in range(n)) + "x"
+    assert t.encode(text) == t.encoding.encode_ordinary(text)
+    assert t.most_held <= t.window + t.long
+
+
 def test_special_strings_are_text(transducer, reference):
     assert transducer.encode("<|endoftext|>") == reference.encode("<|endoftext|>", add_special_tokens=False).ids != [50256]
 
