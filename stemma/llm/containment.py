@@ -10,7 +10,12 @@ stand in their order in one or two passages of the document, where single words
 Shingles are of two words here, not five: single words of a leaked item may be changed, and TESTDATA
 asks for half of an item only, so five words in a row are often not left.
 
-Documents are never shuffled. Items are shipped to them in blocks of a bounded number.
+Words are numbered by the items' vocabulary, so a shingle that no item has is known by a look-up, and
+a document without two shingles of the items goes no further. Of the others only shingles that some
+item has are hashed: what is in no item cannot make a window more like one.
+
+Documents are never shuffled. Items are shipped to them in blocks of a bounded size, one block after
+the other.
 """
 
 from __future__ import annotations
@@ -25,11 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stemma.session import fed
+from stemma.session import fed, written
 
 HASHES = 128
-#: Items that are shipped at once; more are searched for in further blocks.
-BLOCK_ITEMS = 5000
+#: Items, and characters of them, that are shipped at once; more are searched for in further passes.
+BLOCK_ITEMS = 20_000
+BLOCK_CHARS = 1 << 23
 SHARE = 0.5
 AGREE = 3
 SHINGLE_SHARE = 0.15
@@ -94,7 +100,7 @@ def held_words(item: list[str], doc: list[str], gap: int = GAP, least: int = LEA
 
 
 class ItemIndex:
-    """Signatures of a bounded block of items, by size partition."""
+    """Vocabulary, shingles and signatures, by size partition, of a bounded block of items."""
 
     def __init__(self, items: tuple[tuple[int, str], ...], hashes: int = HASHES):
         rng = np.random.default_rng(20240229)
@@ -103,8 +109,13 @@ class ItemIndex:
         self.hashes = hashes
         self.ids = np.array([i for i, _ in items], np.int64)
         self.words = [words(t) for _, t in items]
-        self.shingles = [np.unique(self.pairs(self.hashed(w))) if len(w) > 1 else np.zeros(0, np.uint64) for w in self.words]
+        self.number: dict[str, int] = {}
+        for own in self.words:
+            for w in own:
+                self.number.setdefault(w, len(self.number))
+        self.shingles = [np.unique(self.pairs(self.numbered(w))) for w in self.words]
         self.sets = [frozenset(s.tolist()) for s in self.shingles]
+        self.known = np.unique(np.concatenate([*self.shingles, np.zeros(0, np.int64)]))
         parts: dict[int, list[int]] = {}
         for n, s in enumerate(self.shingles):
             if len(s):
@@ -119,21 +130,32 @@ class ItemIndex:
             size = size * 3 // 2
         return size
 
-    @staticmethod
-    def hashed(w: list[str]) -> np.ndarray:
-        return np.fromiter(map(hash, w), np.int64, len(w)).view(np.uint64)
-
-    @staticmethod
-    def pairs(h: np.ndarray) -> np.ndarray:
-        """Hashes of the shingles of two words."""
-        x = (h[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ ((h[1:] + np.uint64(0x165667B19E3779F9)) * np.uint64(0xC2B2AE3D27D4EB4F))
-        x ^= x >> np.uint64(29)
-        x *= np.uint64(0xBF58476D1CE4E5B9)
-        return x ^ (x >> np.uint64(32))
+    def numbered(self, w: list[str]) -> np.ndarray:
+        """Numbers of the words in the items' vocabulary, -1 for those that are in no item."""
+        get = self.number.get
+        return np.fromiter((get(x, -1) for x in w), np.int64, len(w))
+
+    def pairs(self, n: np.ndarray) -> np.ndarray:
+        """Codes of the shingles of two words; -1 if a word is in no item."""
+        if len(n) < 2:
+            return np.zeros(0, np.int64)
+        return np.where((n[:-1] < 0) | (n[1:] < 0), -1, n[:-1] * np.int64(len(self.number)) + n[1:])
+
+    def places(self, shingles: np.ndarray) -> np.ndarray:
+        """Places of the shingles that some item has."""
+        if not len(self.known):
+            return np.zeros(0, np.int64)
+        some = np.flatnonzero(shingles >= 0)
+        at = np.minimum(np.searchsorted(self.known, shingles[some]), len(self.known) - 1)
+        return some[self.known[at] == shingles[some]]
 
     def mins(self, shingles: np.ndarray) -> np.ndarray:
         """Matrix of hash values, one row a hash function."""
-        return ((shingles[None, :] * self.a[:, None] + self.b[:, None]) >> np.uint64(32)).astype(np.uint32)
+        x = shingles.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(29)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(32)
+        return ((x[None, :] * self.a[:, None] + self.b[:, None]) >> np.uint64(32)).astype(np.uint32)
 
     def _table(self, own: list[int]) -> tuple[np.ndarray, np.ndarray]:
         keys, item = [], []
@@ -145,26 +167,26 @@ class ItemIndex:
         order = np.argsort(k, kind="stable")
         return k[order], i[order]
 
-    def candidates(self, shingles: np.ndarray, lengths: np.ndarray, agree: int) -> tuple[np.ndarray, np.ndarray]:
+    def candidates(self, shingles: list[np.ndarray], places: list[np.ndarray], agree: int) -> tuple[np.ndarray, np.ndarray]:
         """Documents (by their order) and items whose signatures agree in some window.
 
-        ``shingles`` are those of several documents one after another, ``lengths`` their numbers.
+        ``places``: where each document's ``shingles`` are those of items.
         """
         out: set[int] = set()
-        if not len(shingles):
+        if not sum(map(len, places)):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        values = self.mins(shingles)
-        offset = np.append(0, np.cumsum(lengths))[:-1]
-        some = lengths > 0
+        values = self.mins(np.concatenate([s[p] for s, p in zip(shingles, places)]))
+        owner = np.repeat(np.arange(len(places)), [len(p) for p in places])
+        at = np.concatenate(places)
         for size, (keys, item) in self.parts.items():
-            step = max(4, size // 2)
-            blocks = -(-lengths // step)
-            doc = np.repeat(np.arange(len(lengths))[some], blocks[some])
-            nth = np.arange(len(doc)) - np.repeat(np.cumsum(blocks[some]) - blocks[some], blocks[some])
-            block = np.minimum.reduceat(values, offset[doc] + nth * step, axis=1)
-            window = block.copy()
-            same = np.flatnonzero(doc[1:] == doc[:-1])
-            window[:, same] = np.minimum(block[:, same], block[:, same + 1])
+            block = at // max(4, size // 2)
+            first = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (block[1:] != block[:-1])))
+            doc, nth = owner[first], block[first]
+            low = np.minimum.reduceat(values, first, axis=1)
+            # windows of two blocks in a row, and each block alone, as beside an empty one
+            beside = np.flatnonzero((doc[1:] == doc[:-1]) & (nth[1:] == nth[:-1] + 1))
+            window = np.concatenate([low, np.minimum(low[:, beside], low[:, beside + 1])], axis=1)
+            doc = np.append(doc, doc[beside])
             probe = (np.arange(self.hashes, dtype=np.uint64)[:, None] << np.uint64(32)) | window
             probe = probe.ravel()
             lo = np.searchsorted(keys, probe)
@@ -194,12 +216,13 @@ def search(index: ItemIndex, texts: list[str | None], agree: int = AGREE, shingl
     first = 0
 
     def flush() -> Iterator[tuple[int, int, int]]:
-        sh = [index.pairs(index.hashed(w)) if len(w) > 1 else np.zeros(0, np.uint64) for w in held]
-        docs, items = index.candidates(np.concatenate(sh), np.array([len(x) for x in sh]), agree)
+        sh = [index.pairs(index.numbered(w)) for w in held]
+        places = [index.places(s) for s in sh]
+        docs, items = index.candidates(sh, [p if len(p) > 1 else p[:0] for p in places], agree)
         at, there = -1, frozenset()
         for d, n in zip(docs.tolist(), items.tolist()):
             if d != at:
-                at, there = d, frozenset(sh[d].tolist())
+                at, there = d, frozenset(sh[d][places[d]].tolist())
             own = index.sets[n]
             if len(own & there) < max(2, shingle_share * len(own)):
                 continue
@@ -218,24 +241,29 @@ def search(index: ItemIndex, texts: list[str | None], agree: int = AGREE, shingl
         yield from flush()
 
 
-def leaks(documents: DataFrame, items: DataFrame, block: int = BLOCK_ITEMS) -> DataFrame:
+def leaks(documents: DataFrame, items: DataFrame, block: int = BLOCK_ITEMS, chars: int = BLOCK_CHARS) -> DataFrame:
     """``doc_id, item_id, held_words, item_words`` of each document that holds half of an item.
 
     Null, empty and blank texts hold nothing; an item of one word or none is in no document. A
     document or item delivered twice under one id counts once.
     """
-    blocks = -(-items.count() // block)
-    numbered = items.select("item_id", "text").where("text is not null")
-    found = []
-    for n in range(max(1, blocks)):
-        own = numbered if blocks <= 1 else numbered.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == n)
-        chosen = tuple(sorted({(r.item_id, r.text) for r in own.toLocalIterator()}))
-        found.append(_searched(documents, chosen))
-    return reduce(DataFrame.unionByName, found).dropDuplicates(["doc_id", "item_id"])
+    own = items.select("item_id", "text").where("text is not null")
+    n, total = own.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    blocks = max(1, -(-n // block), -(-total // chars))
+    if blocks == 1:
+        found = _searched(documents, _chosen(own))
+    else:  # one after the other, so that one block at a time is held
+        found = reduce(DataFrame.unionByName, [written(_searched(documents, _chosen(own.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == n))), "leaks") for n in range(blocks)])
+    return found.dropDuplicates(["doc_id", "item_id"])
+
+
+def _chosen(items: DataFrame) -> tuple[tuple[int, str], ...]:
+    """The items of one block, which is of a bounded size."""
+    return tuple(sorted({(r.item_id, r.text) for r in items.toLocalIterator()}))
 
 
 def _searched(documents: DataFrame, chosen: tuple[tuple[int, str], ...]) -> DataFrame:
-    shared = documents.sparkSession.sparkContext.broadcast(chosen)  # at most BLOCK_ITEMS short texts
+    shared = documents.sparkSession.sparkContext.broadcast(chosen)  # at most one block
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = _index(shared.value, HASHES) if shared.value else None
