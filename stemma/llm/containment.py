@@ -24,6 +24,7 @@ import functools
 import re
 from collections.abc import Iterator
 from functools import reduce
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,7 @@ SHINGLE_SHARE = 0.15
 GAP = 5
 LEAST_PASSAGE = 4
 _CHUNK_WORDS = 1 << 15
+_BITMAP = 22  # bits of the number of slots that say which shingles some item has
 
 _BROKEN = re.compile(r"(?<=\w)-[ \t]*\r?\n\s*(?=\w)")
 _INNER = re.compile(r"(?<=\w)[-‐‑’'­​](?=\w)")
@@ -116,6 +118,8 @@ class ItemIndex:
         self.shingles = [np.unique(self.pairs(self.numbered(w))) for w in self.words]
         self.sets = [frozenset(s.tolist()) for s in self.shingles]
         self.known = np.unique(np.concatenate([*self.shingles, np.zeros(0, np.int64)]))
+        self.bitmap = np.zeros(1 << _BITMAP, bool)
+        self.bitmap[self._slot(self.known)] = True
         parts: dict[int, list[int]] = {}
         for n, s in enumerate(self.shingles):
             if len(s):
@@ -132,8 +136,7 @@ class ItemIndex:
 
     def numbered(self, w: list[str]) -> np.ndarray:
         """Numbers of the words in the items' vocabulary, -1 for those that are in no item."""
-        get = self.number.get
-        return np.fromiter((get(x, -1) for x in w), np.int64, len(w))
+        return np.fromiter(map(self.number.get, w, repeat(-1)), np.int64, len(w))
 
     def pairs(self, n: np.ndarray) -> np.ndarray:
         """Codes of the shingles of two words; -1 if a word is in no item."""
@@ -141,11 +144,15 @@ class ItemIndex:
             return np.zeros(0, np.int64)
         return np.where((n[:-1] < 0) | (n[1:] < 0), -1, n[:-1] * np.int64(len(self.number)) + n[1:])
 
+    @staticmethod
+    def _slot(shingles: np.ndarray) -> np.ndarray:
+        return (shingles.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BITMAP)
+
     def places(self, shingles: np.ndarray) -> np.ndarray:
         """Places of the shingles that some item has."""
         if not len(self.known):
             return np.zeros(0, np.int64)
-        some = np.flatnonzero(shingles >= 0)
+        some = np.flatnonzero(self.bitmap[self._slot(shingles)])
         at = np.minimum(np.searchsorted(self.known, shingles[some]), len(self.known) - 1)
         return some[self.known[at] == shingles[some]]
 
@@ -185,8 +192,14 @@ class ItemIndex:
             low = np.minimum.reduceat(values, first, axis=1)
             # windows of two blocks in a row, and each block alone, as beside an empty one
             beside = np.flatnonzero((doc[1:] == doc[:-1]) & (nth[1:] == nth[:-1] + 1))
-            window = np.concatenate([low, np.minimum(low[:, beside], low[:, beside + 1])], axis=1)
-            doc = np.append(doc, doc[beside])
+            count = np.diff(np.append(first, len(at)))
+            # an item of this partition needs a tenth of ``size`` shingles in two passages, so a twentieth in one
+            need = max(2, -(-size // 20))
+            alone, both = np.flatnonzero(count >= need), beside[count[beside] + count[beside + 1] >= need]
+            if not len(alone) + len(both):
+                continue
+            window = np.concatenate([low[:, alone], np.minimum(low[:, both], low[:, both + 1])], axis=1)
+            doc = np.append(doc[alone], doc[both])
             probe = (np.arange(self.hashes, dtype=np.uint64)[:, None] << np.uint64(32)) | window
             probe = probe.ravel()
             lo = np.searchsorted(keys, probe)
