@@ -88,6 +88,18 @@ def tree(rows: DataFrame, node: str, parent: str, label: str) -> DataFrame:
     return numbered(out, ["key"], "place").select(F.col("n").alias(node), "depth", "path", "place")
 
 
+def walked(rows: DataFrame, node: str, parent: str, label: str, kinds: Column) -> DataFrame:
+    """``tree`` of the nodes of some kinds only: a node of another kind is passed by with all below it.
+
+    A node whose parent is of another kind is no root, unless the parent is not in the table at all.
+    """
+    kept = rows.where(F.coalesce(kinds, F.lit(False)))
+    gone = rows.where(~F.coalesce(kinds, F.lit(False))).select(F.col(node).alias("_gone")).distinct()
+    # below what was passed by: a parent that is no node, and no root either
+    cut = kept.join(gone, F.col(parent) == F.col("_gone"), "left")
+    return tree(cut.withColumn(parent, F.when(F.col("_gone").isNotNull(), F.col(node)).otherwise(F.col(parent))).drop("_gone"), node, parent, label)
+
+
 def traced(links: DataFrame, starts: DataFrame, passing: Column, most: int = 8) -> DataFrame:
     """``start, target, hops``: the node each start leads to when pass-through nodes are followed.
 

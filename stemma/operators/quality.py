@@ -88,3 +88,31 @@ def warnings(rules: Sequence[tuple[str, Column]]) -> Column:
 def any_content(fields: Sequence[tuple[str, str]]) -> Column:
     """Whether any of the fields ``(path, type)`` of a nested record has content."""
     return reduce(lambda a, b: a | b, (has_content(p, kind) for p, kind in fields))
+
+
+class Violation(ValueError):
+    """A table breaks a rule that the step behind it relies on."""
+
+
+def must_be_empty(rows: DataFrame, rule: str, shown: int = 5) -> None:
+    """Stop with the rule and the first few rows that break it; nothing if there are none."""
+    bad = rows.limit(shown).collect()
+    if bad:
+        raise Violation(f"{rule}: {[r.asDict() for r in bad]}")
+
+
+def unique_index(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df``, of which no two rows may have the same keys."""
+    must_be_empty(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), f"doubled {', '.join(keys)}")
+    return df
+
+
+def known_states(df: DataFrame, state: Column, allowed: list[str]) -> DataFrame:
+    """``df``, whose states must be among those allowed; an absent one is not."""
+    must_be_empty(df.select(state.alias("state")).where(~F.coalesce(F.col("state").isin(*allowed), F.lit(False))).distinct(), "unknown state")
+    return df
+
+
+def unchanged(before: DataFrame, after: DataFrame) -> None:
+    """Counts (``table_name, n``) that must be the same before and after."""
+    must_be_empty(changed_counts(before, after), "changed counts")

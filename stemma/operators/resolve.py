@@ -89,6 +89,88 @@ def resolved(occurrences: DataFrame, roster: DataFrame, overrides: DataFrame | N
     return decided.unionByName(other)
 
 
+#: Classes of the decision: the first four are accepted by themselves.
+CLASSES = ("EXACT", "NAME_VARIANT", "INITIAL_VARIANT", "HIGH_SIMILARITY", "MODERATE_REVIEW", "ID_MISMATCH", "UNKNOWN", "ID_SWAP_RECOVERED", "NAME_WITHOUT_ID", "NAME_VARIANT_WITHOUT_ID", "EXTERNAL")
+
+
+def name_class(author: Column, person: Column) -> Column:
+    """Class of two normalised names where no similarity is needed, null otherwise."""
+    a, p = X.name_parts(author), X.name_parts(person)
+    last = a["last"] == p["last"]
+    return first_reason(
+        [
+            ("UNKNOWN", author.isNull() | person.isNull() | (author == "") | (person == "")),
+            ("EXACT", author == person),
+            ("NAME_VARIANT", last & (a["first"] == p["first"])),
+            ("INITIAL_VARIANT", last & ((F.substring(a["first"], 1, 1) == F.substring(p["first"], 1, 1)) | (a["initials"] == p["initials"]))),
+        ]
+    )
+
+
+def decisions(occurrences: DataFrame, roster: DataFrame, curated: DataFrame | None = None) -> DataFrame:
+    """One decision for each occurrence: ``occurrence_id, person_id, person_name, classification, confidence, evidence``.
+
+    ``occurrences``: ``occurrence_id, publication_id, person_ref, name`` (normalised); ``roster``:
+    ``person_id, name``; ``curated``: ``person_id, name, evidence``. In this order:
+
+    * with a reference to a person of the roster: by the names. If they contradict each other, and another
+      occurrence of the publication has the person's name, the references were swapped and nothing is
+      mapped; else a curated variant counts; else the class itself, for review or of low confidence;
+    * with a reference to nobody of the roster: ``EXTERNAL``;
+    * without a reference: the person of this very name (the last one, of several); else the only person
+      with first and last name alike whom another occurrence of the publication refers to, for review;
+      else ``EXTERNAL``.
+
+    ``evidence`` is a struct of what was seen. An occurrence or person that comes twice counts once.
+    """
+    occ = occurrences.select("occurrence_id", "publication_id", "person_ref", F.nullif("name", F.lit("")).alias("name")).dropDuplicates(["occurrence_id"])
+    people = roster.groupBy(F.col("person_id").alias("p_id")).agg(F.min("name").alias("p_name"))
+    referred = occ.join(people, F.col("person_ref") == F.col("p_id"), "left")
+
+    known = referred.where("p_id is not null").withColumn("_e", name_class(F.col("name"), F.col("p_name")))
+    open_ = F.col("_e").isNull()
+    known = known.withColumn("_s", ratio(F.when(open_, F.col("name")), F.when(open_, F.col("p_name"))))
+    known = known.withColumn("_c", F.coalesce("_e", F.when(F.col("_s") >= HIGH, "HIGH_SIMILARITY").when(F.col("_s") >= MEDIUM, "MODERATE_REVIEW").otherwise("ID_MISMATCH")))
+    good = F.col("_c").isin("EXACT", "NAME_VARIANT", "INITIAL_VARIANT", "HIGH_SIMILARITY")
+    names = occ.where("name is not null").select("publication_id", F.col("name").alias("p_name"), F.col("occurrence_id").alias("_other"))
+    swapped = known.where(~good).join(names, ["publication_id", "p_name"]).where("_other <> occurrence_id").select("occurrence_id").distinct().withColumn("_swap", F.lit(True))
+    known = known.join(swapped, "occurrence_id", "left")
+    if curated is not None:
+        c = curated.groupBy(F.col("person_id").alias("c_id"), F.col("name").alias("c_name")).agg(F.min("evidence").alias("_why"))
+        known = known.join(c, (F.col("p_id") == F.col("c_id")) & (F.col("name") == F.col("c_name")), "left")
+    else:
+        known = known.withColumn("_why", F.lit(None).cast("string"))
+    kind = F.when(good, F.col("_c")).when(F.col("_swap"), "ID_SWAP_RECOVERED").when(F.col("_why").isNotNull(), "NAME_VARIANT").otherwise(F.col("_c"))
+    sure = F.when(kind == "HIGH_SIMILARITY", "MEDIUM").when(kind == "MODERATE_REVIEW", "REVIEW").when(kind.isin("ID_MISMATCH", "UNKNOWN"), "LOW").otherwise("HIGH")
+    mapped = kind.isin("EXACT", "NAME_VARIANT", "INITIAL_VARIANT", "HIGH_SIMILARITY")
+    evidence = lambda **x: F.struct(*(x.get(k, F.lit(None)).cast(t).alias(k) for k, t in (("reference", "string"), ("similarity", "double"), ("candidates", "bigint"), ("supported", "bigint"), ("curated", "string"))))
+    a = known.select(
+        "occurrence_id", F.when(mapped, F.col("p_id")).alias("person_id"), F.when(mapped, F.col("p_name")).alias("person_name"), kind.alias("classification"), sure.alias("confidence"),
+        evidence(reference=F.lit("on the roster"), similarity=F.round("_s", 4), curated=F.when(kind == "NAME_VARIANT", F.col("_why"))).alias("evidence"),
+    )
+    none = F.lit(None)
+    key = dict(roster.dtypes)["person_id"]
+    b = referred.where("p_id is null and person_ref is not null").select("occurrence_id", none.cast(key).alias("person_id"), none.cast("string").alias("person_name"), F.lit("EXTERNAL").alias("classification"), F.lit("NONE").alias("confidence"), evidence(reference=F.lit("not on the roster")).alias("evidence"))
+
+    rest = referred.where("person_ref is null").select("occurrence_id", "publication_id", "name")
+    named = people.where("p_name <> ''").groupBy(F.col("p_name").alias("name")).agg(F.max("p_id").alias("same_id"))
+    ends = lambda c: F.when(c != "", F.concat(X.name_parts(c)["first"], F.lit(" "), X.name_parts(c)["last"]))
+    there = occ.where("person_ref is not null").select("publication_id", F.col("person_ref").alias("p_id")).distinct().withColumn("_there", F.lit(True))
+    alike = rest.withColumn("_k", ends(F.col("name"))).join(people.withColumn("_k", ends(F.col("p_name"))), "_k").join(there, ["publication_id", "p_id"], "left")
+    alike = alike.groupBy("occurrence_id").agg(F.count(F.lit(1)).alias("candidates"), F.count("_there").alias("supported"), F.max(F.when(F.col("_there"), F.struct("p_id", "p_name"))).alias("_best"))
+    rest = rest.join(named, "name", "left").join(alike, "occurrence_id", "left")
+    direct, one = F.col("same_id").isNotNull(), F.coalesce(F.col("supported") == 1, F.lit(False))
+    c = rest.select(
+        "occurrence_id",
+        F.when(direct, F.col("same_id")).when(one, F.col("_best.p_id")).alias("person_id"),
+        F.when(direct, F.col("name")).when(one, F.col("_best.p_name")).alias("person_name"),
+        F.when(direct, "NAME_WITHOUT_ID").when(one, "NAME_VARIANT_WITHOUT_ID").otherwise("EXTERNAL").alias("classification"),
+        F.when(direct, "HIGH").when(one, "REVIEW").otherwise("NONE").alias("confidence"),
+        evidence(reference=F.lit("none"), candidates=F.coalesce("candidates", F.lit(0)), supported=F.coalesce("supported", F.lit(0))).alias("evidence"),
+    )
+    return a.unionByName(b).unionByName(c)
+
+
 def graph_ladder(people: DataFrame, nodes: DataFrame, key: Column) -> DataFrame:
     """``name, action`` for each person: ``exists`` (a node of this very name), ``review`` (only a variant by ``key``), ``create``."""
     n = nodes.select("name").distinct()
@@ -98,4 +180,4 @@ def graph_ladder(people: DataFrame, nodes: DataFrame, key: Column) -> DataFrame:
     return out.select("name", F.when(F.col("e").isNotNull(), "exists").when(F.col("v").isNotNull(), "review").otherwise("create").alias("action"))
 
 
-__all__ = ["exact_rungs", "graph_ladder", "name_ladder", "other_in_group", "resolved"]
+__all__ = ["decisions", "exact_rungs", "graph_ladder", "name_ladder", "other_in_group", "resolved"]
