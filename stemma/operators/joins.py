@@ -156,3 +156,43 @@ def similar_pairs(rows: DataFrame, others: DataFrame, block: Sequence[str], a: s
     possible = 2 * F.least(la, lb) >= least * (la + lb)
     rated = pairs.where(possible).withColumn("similarity", ratio(F.col(a), F.col(b)))
     return rated.where(F.col("similarity") >= least)
+
+
+def similar_titles(rows: DataFrame, node: str, title: str, year: str, least: float = 0.85, window: int = 2) -> DataFrame:
+    """``node, other, similarity`` of classes within ``window`` years whose normalised titles are similar.
+
+    Rows of equal title and year are one class, named by its smallest id (see ``title_classes``), and
+    are not paired with each other. Two titles meet by a word among the rarer half of either's words,
+    so that common words bring nothing together; titles that share none of these are not compared. A
+    null title or year is similar to nothing.
+    """
+    from stemma.functions.unicode import ratio_from
+
+    dated = rows.where(F.col(title).isNotNull() & F.col(year).isNotNull()).select(F.col(node).alias("id"), F.col(title).alias("t"), F.col(year).alias("y"))
+    titles = dated.select("t", "y").distinct()
+    words = titles.select("t").distinct().select("t", F.explode(F.array_distinct(F.split("t", " "))).alias("w"))
+    often = words.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    # a title has few words
+    ranked = words.join(often, "w").groupBy("t").agg(F.array_sort(F.collect_list(F.struct("n", "w"))).alias("ws"))
+    rare = ranked.select("t", F.explode(F.slice("ws", F.lit(1), (F.floor(F.size("ws") / 2) + 1).cast("int"))).alias("k")).select("t", "k.w")
+    keyed = titles.join(rare, "t")
+    a, b = keyed.select(F.col("t").alias("ta"), F.col("y").alias("ya"), "w"), keyed.select(F.col("t").alias("tb"), F.col("y").alias("yb"), "w")
+    near = a.join(b, "w").where((F.col("ta") < F.col("tb")) & (F.abs(F.col("ya") - F.col("yb")) <= window))
+    # the similarity is at most twice the shorter length by both lengths
+    short, long = F.least(F.length("ta"), F.length("tb")), F.greatest(F.length("ta"), F.length("tb"))
+    pairs = near.where(2 * short >= least * (short + long)).select("ta", "tb").distinct()
+    alike = pairs.select("ta", "tb", ratio_from(least)("ta", "tb").alias("s")).where(F.col("s") >= least)
+    classes = dated.groupBy("t", "y").agg(F.min("id").alias("c"))
+    x, y = (classes.select(F.col("c").alias(f"i{k}"), F.col("t").alias(f"t{k}"), F.col("y").alias(f"y{k}")) for k in "ab")
+    in_time = F.abs(F.col("ya") - F.col("yb")) <= window
+    differ = alike.join(x, "ta").join(y, "tb").where(in_time).select("ia", "ib", "s")
+    same = x.join(y, F.col("ta") == F.col("tb")).where(in_time & (F.col("ia") < F.col("ib"))).select("ia", "ib", F.lit(1.0).alias("s"))
+    both = differ.unionByName(same)
+    return both.select(F.least("ia", "ib").alias(node), F.greatest("ia", "ib").alias("other"), F.round("s", 4).alias("similarity"))
+
+
+def title_classes(rows: DataFrame, node: str, title: str, year: str) -> DataFrame:
+    """``node, class``: rows of equal title and year share a class, its smallest id; without either a row is its own."""
+    c = rows.groupBy(F.col(title).alias("_t"), F.col(year).alias("_y")).agg(F.min(node).alias("class"))
+    own = rows.join(c, (F.col(title) == F.col("_t")) & (F.col(year) == F.col("_y")), "left")
+    return own.select(node, F.coalesce("class", F.col(node)).alias("class"))

@@ -145,12 +145,11 @@ FROM a FULL JOIN b ON a.title_key IS NOT DISTINCT FROM b.title_key AND a.publica
 
 
 def doubled_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Folded name and institution of professors that occur more than once: an upsert by them would be ambiguous."""
-    t = Tables(spark, sf_dir)
-    return M.doubled(t.professors.select(F.lower(F.trim("full_name")).alias("name"), F.lower(F.trim("institution")).alias("place")), ["name", "place"])
+    """Authorships that were delivered more than once: an upsert by their id would be ambiguous."""
+    return M.doubled(Tables(spark, sf_dir).authorships, ["authorship_id"])
 
 
-SQL_DOUBLED = "SELECT lower(trim(full_name)) AS name, lower(trim(institution)) AS place, count(*) AS n FROM professors GROUP BY 1, 2 HAVING count(*) > 1"
+SQL_DOUBLED = "SELECT authorship_id, count(*) AS n FROM authorships GROUP BY 1 HAVING count(*) > 1"
 
 
 def first_seen_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,17 +75,22 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE len(ids) > 0) AS n_ci
 
 
 def citation_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sources that notes cite and that are not among the more trusted half of the harvest sources."""
+    """Notes against lists of their sources that lack some, have others more, and give some a different URL."""
     t = Tables(spark, sf_dir)
-    notes = t.documents.where("document_type = 'note'").select("doc_id", "text")
-    listed = notes.select("doc_id", F.explode(X.citation_ids("text")).alias("source_id")).distinct().withColumn("url", F.lit(None).cast("string"))
-    ledger = t.harvest_sources.where("trust_rank <= 60").select("source_id", F.lit(None).cast("string").alias("url"))
-    return C.citation_check(notes, listed, ledger)
+    notes = t.documents.where("document_type = 'note'").select("doc_id", "text").distinct()
+    cited = notes.select("doc_id", F.explode(X.citation_ids("text")).alias("source_id")).distinct().where((F.col("doc_id") + F.col("source_id")) % 3 != 0)
+    more = notes.select("doc_id", F.explode(F.array(F.lit(1), F.lit(1000))).alias("source_id")).where((F.col("doc_id") + F.col("source_id")) % 5 == 0)
+    url = F.concat(F.lit("https://s.example/"), F.col("source_id").cast("string"))
+    listed = cited.union(more).distinct().withColumn("url", F.when(F.col("source_id") % 4 == 0, F.concat(url, F.lit("/x"))).otherwise(F.concat(url, F.lit("/#top"))))
+    return C.citation_check(notes, listed, t.harvest_sources.select("source_id", url.alias("url")))
 
 
 SQL_CITED = r"""
-WITH c AS (SELECT DISTINCT doc_id, CAST(unnest(regexp_extract_all(text, '\[([0-9]+)\]', 1)) AS INTEGER) AS source_id FROM documents WHERE document_type = 'note')
-SELECT doc_id, source_id, 'unknown' AS issue FROM c WHERE source_id NOT IN (SELECT source_id FROM harvest_sources WHERE trust_rank <= 60)
+WITH c AS (SELECT DISTINCT doc_id, CAST(unnest(regexp_extract_all(text, '\[([0-9]+)\]', 1)) AS INTEGER) AS source_id FROM documents WHERE document_type = 'note'),
+l AS (SELECT * FROM c WHERE (doc_id + source_id) % 3 <> 0 UNION SELECT doc_id, s FROM documents, (VALUES (1), (1000)) AS v(s) WHERE document_type = 'note' AND (doc_id + s) % 5 = 0),
+j AS (SELECT coalesce(c.doc_id, l.doc_id) AS doc_id, coalesce(c.source_id, l.source_id) AS source_id, c.doc_id IS NOT NULL AS cited, l.doc_id IS NOT NULL AS listed FROM c FULL JOIN l ON c.doc_id = l.doc_id AND c.source_id = l.source_id),
+i AS (SELECT doc_id, source_id, CASE WHEN source_id NOT IN (SELECT source_id FROM harvest_sources) THEN 'unknown' WHEN NOT listed THEN 'unlisted' WHEN NOT cited THEN 'uncited' WHEN source_id % 4 = 0 THEN 'url_mismatch' END AS issue FROM j)
+SELECT * FROM i WHERE issue IS NOT NULL
 """
 
 
@@ -120,17 +125,17 @@ SELECT l.doc_id, CAST(line_no AS INTEGER) AS line_no, line FROM l JOIN h USING (
 
 
 def joined_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """List items of notes: how many each note has, and the longest."""
+    """List items of notes, their lines joined."""
     d = Tables(spark, sf_dir).documents.where("document_type = 'note'")
-    lines = O.lines_of(d.select("doc_id", "text")).where("trim(line) <> ''")
-    items = O.joined_items(lines, F.col("line").rlike(r"^(-|#)"))
-    return items.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_items"), F.max("item_no").alias("last_item"))
+    lines = O.lines_of(d.select("doc_id", "text").distinct()).where("trim(line) <> ''")
+    return O.joined_items(lines, F.col("line").rlike(r"^(-|#)"))
 
 
 SQL_ITEMS = r"""
-WITH l AS (SELECT doc_id, unnest(regexp_split_to_array(text, '\r?\n')) AS line, generate_subscripts(regexp_split_to_array(text, '\r?\n'), 1) AS n FROM documents WHERE document_type = 'note'),
-i AS (SELECT doc_id, sum(CASE WHEN regexp_matches(line, '^(-|#)') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS item FROM l WHERE trim(line) <> '')
-SELECT doc_id, count(DISTINCT item) AS n_items, CAST(max(item) AS BIGINT) AS last_item FROM i GROUP BY doc_id
+WITH d AS (SELECT DISTINCT doc_id, text FROM documents WHERE document_type = 'note'),
+l AS (SELECT doc_id, unnest(regexp_split_to_array(text, '\r?\n')) AS line, generate_subscripts(regexp_split_to_array(text, '\r?\n'), 1) AS n FROM d),
+i AS (SELECT doc_id, n, trim(line) AS line, sum(CASE WHEN regexp_matches(line, '^(-|#)') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS item FROM l WHERE trim(line) <> '')
+SELECT doc_id, CAST(item AS BIGINT) AS item_no, replace(regexp_replace(string_agg(line, chr(1) ORDER BY n), '(\w)-\x01([a-z])', '\1\2', 'g'), chr(1), ' ') AS item FROM i GROUP BY doc_id, item
 """
 
 
@@ -196,10 +201,9 @@ SELECT DISTINCT display_name AS name, CASE WHEN display_name IN (SELECT full_nam
 
 
 def similar_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Titles of one venue and year that are similar to at least 0.85 (similarity in Python)."""
-    p = Tables(spark, sf_dir).papers.where("venue is not null").select("paper_id", "venue", "publication_year", X.title_key("title").alias("title_key"))
-    q = p.select("venue", "publication_year", F.col("paper_id").alias("other_id"), F.col("title_key").alias("other_key"))
-    return J.similar_pairs(p, q, ["venue", "publication_year"], "title_key", "other_key", 0.85, F.col("paper_id") < F.col("other_id")).select("paper_id", "other_id")
+    """Classes of papers within two years of each other whose titles are similar to at least 0.85 (similarity in Python: no SQL)."""
+    p = Tables(spark, sf_dir).papers.select("paper_id", X.title_key("title").alias("title_key"), "publication_year")
+    return J.similar_titles(p, "paper_id", "title_key", "publication_year")
 
 
 def unicode_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,9 +216,10 @@ def unicode_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hash_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events of each user as a chained log: the last hash, and whether the chain verifies."""
+    """Events of each user as a chained log, some of which were altered later: the last hash, and whether the chain verifies."""
     e = Tables(spark, sf_dir).events
     log = A.chained(e.select("user_id", "event_id", "event_type"), ["user_id"], "event_id", F.concat_ws("|", F.col("event_id").cast("string"), F.col("event_type")))
+    log = log.withColumn("payload", F.when(F.col("event_id") % 97 == 0, "altered").otherwise(F.col("payload")))
     ok = A.verified(log, ["user_id"], "event_id")
     return ok.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events"), F.max_by("event_hash", "event_id").alias("last_hash"), F.bool_and(F.col("link_ok") & F.col("hash_ok")).alias("ok"))
 
@@ -223,7 +228,7 @@ SQL_CHAIN = """
 WITH RECURSIVE e AS (SELECT user_id, event_id, event_id || '|' || event_type AS p, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k, count(*) OVER (PARTITION BY user_id) AS n FROM events),
 c AS (SELECT user_id, k, n, sha256(repeat('0', 64) || '|' || p) AS h FROM e WHERE k = 1
   UNION ALL SELECT e.user_id, e.k, e.n, sha256(c.h || '|' || e.p) FROM c JOIN e ON e.user_id = c.user_id AND e.k = c.k + 1)
-SELECT user_id, n AS n_events, h AS last_hash, true AS ok FROM c WHERE k = n
+SELECT user_id, n AS n_events, h AS last_hash, NOT EXISTS (SELECT 1 FROM events v WHERE v.user_id = c.user_id AND v.event_id % 97 = 0) AS ok FROM c WHERE k = n
 """
 
 
@@ -242,13 +247,15 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS root, CASE WHEN doc_id =
 
 
 def pointer_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Topics that reach a root within one hop."""
-    return R.chase_bounded(Tables(spark, sf_dir).topics, "topic_id", "parent_topic_id", 1)
+    """Documents that reach the first one with their text within five hops."""
+    from pyspark.sql import Window
 
+    d = Tables(spark, sf_dir).documents.where("text is not null").select("doc_id", "text")
+    edges = d.select("doc_id", F.lag("doc_id").over(Window.partitionBy(F.sha2("text", 256)).orderBy("doc_id")).alias("original_id"))
+    return R.chase_bounded(edges, "doc_id", "original_id", 5)
 
-SQL_BOUNDED = """
-SELECT t.topic_id, t.parent_topic_id IS NULL OR (p.topic_id IS NOT NULL AND p.parent_topic_id IS NULL) AS reached FROM topics t LEFT JOIN topics p ON p.topic_id = t.parent_topic_id
-"""
+
+SQL_BOUNDED = "SELECT doc_id, row_number() OVER (PARTITION BY text ORDER BY doc_id) <= 6 AS reached FROM documents WHERE text IS NOT NULL"
 
 
 def topic_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

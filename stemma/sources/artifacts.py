@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,13 +51,25 @@ def index_value(entries: Column, key: str) -> Column:
     return F.coalesce(F.nullif(hit["text"], F.lit("")), hit["entry_key"])
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file, line, value`` of text files, lines from 1, blank ones counted.
+
+    Large files are read in blocks by many tasks: a line's number is its place in its block, moved by
+    the number of lines in the file's blocks before it, of which there is one number a block.
+    """
+    raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("i"), "value")
+    blocks = raw.groupBy(F.col("file").alias("b_file"), F.col("block").alias("b_block")).agg(F.min("i").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("b_file").orderBy("b_block").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = blocks.withColumn("before", F.coalesce(before, F.lit(0)))
+    at = raw.join(blocks, (F.col("file") == F.col("b_file")) & (F.col("block") == F.col("b_block")))
+    return at.select("file", (F.col("before") + F.col("i") - F.col("first") + 1).alias("line"), "value")
+
+
 def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON lines with ``line`` (their number) and ``bad`` (the text of lines that are no JSON)."""
-    # one file is numbered by one task; the log of another file is numbered beside it
-    raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\n")).alias("p", "value"))
-    rows = raw.where(F.trim("value") != "").withColumn("r", F.from_json("value", schema, {"mode": "PERMISSIVE"}))
+    """JSON lines with ``file``, ``line`` (their number) and ``bad`` (the text of lines that are no JSON). Blank lines are left out."""
+    rows = numbered_lines(spark, path).where(F.trim("value") != "").withColumn("r", F.from_json("value", schema, {"mode": "PERMISSIVE"}))
     broken = F.try_parse_json("value").isNull()
-    return rows.select("file", (F.col("p") + 1).alias("line"), "r.*", F.when(broken, F.col("value")).alias("bad"))
+    return rows.select("file", "line", "r.*", F.when(broken, F.col("value")).alias("bad"))
 
 
 def append_log(df: DataFrame, path: str) -> None:
@@ -73,7 +85,7 @@ def read_delimited(spark: SparkSession, path: str, sep: str = ",", encoding: str
 def write_delimited(df: DataFrame, path: str, sep: str = ",") -> None:
     """Timestamps at midnight are written as dates."""
     cols = [cell_text(c).alias(c) if kind.startswith("timestamp") else F.col(c).cast("string").alias(c) for c, kind in df.dtypes]
-    df.select(*cols).write.mode("overwrite").option("header", True).option("sep", sep).option("quote", '"').option("escape", '"').csv(path)
+    df.select(*cols).write.mode("overwrite").option("header", True).option("sep", sep).option("quote", '"').option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -105,6 +117,19 @@ def read_table(spark: SparkSession, url: str, query: str, properties: dict[str,
     return r.load()
 
 
+def created(spark: SparkSession, statements: Sequence[str]) -> None:
+    """Run ``CREATE TABLE IF NOT EXISTS`` statements all or not at all: if one fails, the tables made by those before it are dropped."""
+    before = {t.name for t in spark.catalog.listTables()}
+    try:
+        for s in statements:
+            spark.sql(s)
+    except Exception:
+        for t in spark.catalog.listTables():
+            if t.name not in before and not t.isTemporary:
+                spark.sql(f"DROP TABLE IF EXISTS `{t.name}`")
+        raise
+
+
 def batched(df: DataFrame, order: Sequence[str], size: int = 10) -> DataFrame:
     """``df`` with ``batch`` and ``batch_place``, both from 1: groups of ``size`` rows in order, for a sink that takes so many."""
     from stemma.operators.ordered import numbered
