@@ -5,13 +5,24 @@ look-alike table, decompose again. Whether a letter only imitates another depend
 the value it stands in (a Cyrillic ``a`` is an imitation inside a Latin word but not in a Russian
 title), so the replacement looks at scripts word by word.
 
+The letters most often met are listed below. All other look-alikes of Latin letters come from the
+Unicode confusables data as the Spark distribution carries them (in its ICU library), read once by
+each worker: a letter of any other script, or of phonetic notation, that stands in a word with Latin
+letters, or a word of such letters among Latin words. Letters of ordinary Latin orthographies, and
+symbols and numerals that stand alone, are themselves.
+
 ``reader_form`` gives the text as a reader sees it, ``skeleton`` the decomposed key for grouping.
 """
 
 from __future__ import annotations
 
+import functools
+import glob
+import os
 import re
+import struct
 import unicodedata
+import zipfile
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -41,6 +52,58 @@ _JOINERS = "‌‍"
 _ALWAYS_GONE = {0x034F, 0x115F, 0x1160, 0x3164, 0xFFA0, 0x180B, 0x180C, 0x180D}
 
 
+@functools.lru_cache(maxsize=1)
+def confusables() -> dict[str, str]:
+    """Prototype of every character of the Unicode confusables data.
+
+    The data are those of the ICU library among the jars of the Spark distribution, which driver and
+    executors have alike. A worker that cannot find them stops, so that no two differ in what they know.
+    """
+    import pyspark
+
+    homes = [os.path.dirname(pyspark.__file__), os.environ.get("SPARK_HOME", "")]
+    jars = [j for h in homes if h for j in sorted(glob.glob(os.path.join(h, "jars", "icu4j-*.jar")))]
+    if not jars:
+        raise FileNotFoundError(f"no ICU library among the jars of {homes}")
+    with zipfile.ZipFile(jars[0]) as z:
+        raw = z.read(next(n for n in z.namelist() if n.endswith("/confusables.cfu")))
+    order = ">" if raw[8] else "<"
+    body = raw[struct.unpack(">H", raw[:2])[0] :]  # behind the header, whose size comes first
+    keys_at, n, values_at, _, strings_at, length = struct.unpack(f"{order}6i", body[12:36])
+    keys = struct.unpack(f"{order}{n}i", body[keys_at : keys_at + 4 * n])
+    values = struct.unpack(f"{order}{n}H", body[values_at : values_at + 2 * n])
+    units = body[strings_at : strings_at + 2 * length].decode("utf-16-be" if order == ">" else "utf-16-le", "surrogatepass")
+    out = {}
+    for k, v in zip(keys, values):
+        # a key: a code point and, in the upper byte, one less than the size of its prototype
+        size = (k >> 24 & 0xFF) + 1
+        wide = units if len(units) == length else None
+        text = chr(v) if size == 1 else (wide[v : v + size] if wide is not None else body[strings_at + 2 * v : strings_at + 2 * (v + size)].decode("utf-16-be" if order == ">" else "utf-16-le", "surrogatepass"))
+        out[chr(k & 0x1FFFFF)] = text
+    return out
+
+
+@functools.lru_cache(maxsize=1)
+def lookalikes() -> dict[str, str]:
+    """Letters beyond the lists above that look like Latin ones, each with what it looks like."""
+    out = {}
+    for o in range(0x180, 0x20000):
+        c = chr(o)
+        kind = unicodedata.category(c)
+        if kind not in ("Lu", "Ll", "Lo", "Nl") or c in _TO_LATIN or c in LATIN or _is_cjk(c) or 0x1E00 <= o < 0x1F00 or 0x370 <= o < 0x590 or 0x1D400 <= o < 0x1D800:
+            continue
+        name = unicodedata.name(c, "")
+        small = re.fullmatch(r"LATIN LETTER SMALL CAPITAL ([A-Z])", name)
+        like = small.group(1).lower() if small else confusables().get(c, "")
+        if kind == "Nl" or 0x2100 <= o < 0x2190:
+            like = unicodedata.normalize("NFKC", c)
+        elif kind == "Lu" and like == "l":
+            like = "I"  # the data do not tell a capital i from a small l
+        if like.isascii() and like.isalpha() and (len(like) == 1 or kind == "Nl"):
+            out[c] = like
+    return out
+
+
 def _script(ch: str) -> str:
     o = ord(ch)
     if o < 0x250 or 0x250 <= o < 0x2B0 or 0x1E00 <= o < 0x1F00:
@@ -100,8 +163,14 @@ def _in_script(s: str, symbols: bool) -> str:
     if "G" in real and not any(len(w) > 1 and all(_script(c) in "GM" for c in w) and any(c not in GREEK for c in w) for w in _WORD.findall(s)):
         real.discard("G")
 
+    table = lookalikes()
+    latin = any(c.isascii() and c.isalpha() for c in s)
+
     def fix(m: re.Match[str]) -> str:
         w = m.group()
+        if latin and any(c in table for c in w) and (any(c.isascii() for c in w) or len(w) > 1 and all(c in table or c in _TO_LATIN for c in w)):
+            # a stroke is a small l behind a small letter
+            w = "".join("l" if table.get(c) == "I" and b.islower() else table.get(c, c) for b, c in zip(" " + w, w))
         scripts = {_script(c) for c in w} - {"M"}
         foreign = scripts & {"G", "C", "A"}
         if not foreign:

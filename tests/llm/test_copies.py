@@ -60,6 +60,22 @@ def test_canonical(title, year, key):
     assert C.canonical(title, year) == key
 
 
+@pytest.mark.parametrize(
+    "text,shown",
+    [
+        ("We\u13aar of weirs", "WeAr of weirs"), ("C\u13a1eep", "CReep"), ("mode\u217c", "model"), ("\u216fodel wear", "Model wear"), ("te\u1d00r", "tear"), ("c\u0196ay", "clay"), ("\u2102reep", "Creep"), ("\U000102a0ge of weirs", "Age of weirs"),
+        ("Wear \u13a9\u13aa", "Wear YA"), ("\u13a0\u13b9 \u13a9\u13aa", "\u13a0\u13b9 \u13a9\u13aa"), ("in \u2102 and \u2163", "in \u2102 and \u2163"), ("\u0131lg\u0131n \u00fe\u00f3r \u0142ad \u0140l", "\u0131lg\u0131n \u00fe\u00f3r \u0142ad \u0140l"), ("AI\u4e28\u5de5", "AI\u4e28\u5de5"),
+    ],
+)
+def test_look_alikes_of_all_scripts(text, shown):
+    assert T.reader_form(text) == shown
+
+
+def test_the_confusables_data_are_whole():
+    assert len(T.confusables()) > 6000 and T.confusables()["\u0430"] == "a" and T.confusables()["\u13aa"] == "A"
+    assert 300 < len(T.lookalikes()) and not any(c.isascii() for c in T.lookalikes())
+
+
 def test_merged_filters_never_lose_a_repeat():
     rng = np.random.default_rng(5)
     h = rng.integers(-(2**63), 2**63 - 1, 4000)
