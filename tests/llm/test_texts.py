@@ -148,10 +148,11 @@ def test_spans_against_brute_force(spark):
     texts = ["".join(random.choices(pieces, k=random.randint(1, 5))) for _ in range(40)] + [None, "", "short", "z" * 400, "z" * 300, pieces[0] * 6]
     texts += texts[:4]
     d = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, span string")
-    for batches in (1, 4):
-        classes, spans = S.shared_spans(d, 60, batches)
-        got = {(r.doc_id_a, r.doc_id_b) for r in S.sharing_pairs(classes, spans).collect()}
+    for batches, hot in ((1, 64), (4, 64), (1, 3), (3, 2)):
+        classes, spans = S.shared_spans(d, 60, batches, hot)
+        got = {(r.doc_id_a, r.doc_id_b) for r in S.sharing_pairs(classes, spans, 60).collect()}
         assert got == _brute(texts, 60)
+        assert spans.where("rep is not null").isEmpty() == (hot == 64)
     extent = {r.doc_id: r for r in S.shared_extent(d, classes, spans).collect()}
     assert len(extent) == len(texts)
     for i, t in enumerate(texts):
@@ -175,6 +176,31 @@ def test_spans_of_an_empty_table(spark):
     assert S.sharing_pairs(classes, spans).count() == 0
 
 
+def test_a_hot_passage_is_linked_to_its_representative_only(spark):
+    random.seed(9)
+    noise = lambda: "".join(random.choice("abcdefghij ") for _ in range(200))
+    passage = "".join(random.choice("xyz ") for _ in range(90))
+    d = spark.createDataFrame([(i, noise() + passage + noise()) for i in range(40)], "doc_id long, text string")
+    classes, spans = S.shared_spans(d, 60, 2, 8)
+    assert spans.count() < 3 * 40  # not 780
+    assert S.sharing_pairs(classes, spans, 60).count() == 40 * 39 // 2
+    assert {r.shared_chars for r in S.shared_extent(d, classes, spans).collect()} <= set(range(90, 105))
+
+
+def test_an_index_is_opened_again(spark, tmp_path):
+    a = "the quick brown fox jumps over the lazy dog and runs away into the woods"
+    row = lambda i: spark.createDataFrame([(i, f"{i} unlike {i * i} " + a)], "doc_id long, text string")
+    first = S.SpanIndex(spark, 30, folder=str(tmp_path / "index"))
+    first.add(row(0))
+    first.add(row(1))
+    first.close()
+    again = S.SpanIndex(spark, 30, folder=str(tmp_path / "index"))
+    assert {(r.doc_id_a, r.doc_id_b) for r in again.add(row(2)).collect()} == {(0, 2), (1, 2)}
+    again.close()
+    with pytest.raises(ValueError):
+        S.SpanIndex(spark, 40, folder=str(tmp_path / "index"))
+
+
 def test_index_is_incremental_and_compacts(spark):
     a = "the quick brown fox jumps over the lazy dog and runs away into the woods"
     index = S.SpanIndex(spark, 30, fan_in=2)
