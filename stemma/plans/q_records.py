@@ -151,11 +151,11 @@ SQL_WEEK = "SELECT ingestion_id, document_id, status FROM ingestion_runs WHERE s
 def orphaned_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unfinished runs whose document has no text, or is none."""
     t = Tables(spark, sf_dir)
-    owners = t.documents.where("trim(text) <> ''").select("doc_id")
+    owners = t.documents.where("text <> ''").select("doc_id")
     return R.orphaned(t.ingestion_runs, F.lower(F.trim("status")), ["processed", "failed", "completed", "done"], "document_id", owners).select("ingestion_id", "document_id", "status")
 
 
-SQL_ORPHANS = "SELECT ingestion_id, document_id, status FROM ingestion_runs WHERE coalesce(lower(trim(status)), '') NOT IN ('processed', 'failed', 'completed', 'done') AND NOT EXISTS (SELECT 1 FROM documents WHERE doc_id = document_id AND trim(text) <> '')"
+SQL_ORPHANS = "SELECT ingestion_id, document_id, status FROM ingestion_runs WHERE coalesce(lower(trim(status)), '') NOT IN ('processed', 'failed', 'completed', 'done') AND NOT EXISTS (SELECT 1 FROM documents WHERE doc_id = document_id AND text <> '')"
 
 
 def topics_of_a_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
