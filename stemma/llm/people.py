@@ -128,23 +128,20 @@ def same_kinds(a: Column, b: Column) -> Column:
     return (a == b) | (a == "?") | (b == "?") | may(a, b) | may(b, a)
 
 
-def near_places(a: DataFrame, b: DataFrame) -> DataFrame:
-    """``at, other``: distinct institutions (column ``at`` of both sides) that are the same one, perhaps with a typo."""
+def near_places(a: DataFrame, b: DataFrame, near: DataFrame) -> DataFrame:
+    """``at, other``: distinct institutions (column ``at`` of both sides) that are the same one, perhaps with a typo (``near``)."""
     own = a.where("at.place is not null").select("at").distinct()
     theirs = b.where("at.place is not null").select(F.col("at").alias("other")).distinct()
-    near = near_words(own.select(F.col("at.place").alias("word")), theirs.select(F.col("other.place").alias("word")), 1)
     near = near.where((F.col("distance") == 0) | (F.least(F.length("probe"), F.length("word")) >= LONG_PLACE))
     both = own.join(near, F.col("at.place") == F.col("probe")).join(theirs, F.col("other.place") == F.col("word"))
     return both.where(same_kinds(F.col("at.kind"), F.col("other.kind"))).select("at", "other")
 
 
-def near_givens(a: DataFrame, b: DataFrame) -> DataFrame:
-    """``own, theirs``: full given names that are equal, nearly so, or one the short form of the other."""
-    full = lambda k: k.where("length(given) > 1").select(F.col("given").alias("word"))
-    near = near_words(full(a), full(b), 1).select(F.col("probe").alias("own"), F.col("word").alias("theirs"))
+def near_givens(near: DataFrame) -> DataFrame:
+    """``own, theirs``: full given names that are equal, nearly so (``near``), or one the short form of the other."""
     short = [(k, n) for k, v in NICKNAMES.items() for n in v.split()]  # a fixed table
-    table = a.sparkSession.createDataFrame(short + [(n, k) for k, n in short], "own string, theirs string")
-    return near.unionByName(table).distinct()
+    table = near.sparkSession.createDataFrame(short + [(n, k) for k, n in short], "own string, theirs string")
+    return near.where("length(probe) > 1").select(F.col("probe").alias("own"), F.col("word").alias("theirs")).unionByName(table).distinct()
 
 
 def spelled(rows: DataFrame, givens: DataFrame) -> DataFrame:
@@ -166,7 +163,14 @@ class Meeting:
     def __init__(self, tables: Scratch, a: DataFrame, b: DataFrame, keys: DataFrame):
         self.a, self.b = (x.select("id", "name_id", "at") for x in (a, b))
         self.keys, self.tables = keys, tables
-        self.places = tables.written(near_places(a, b), "places")
+
+        def vocabulary(rows: DataFrame) -> DataFrame:
+            own = keys.join(rows, "name_id", "left_semi")
+            return own.select(F.explode(F.array_distinct(F.array("word", "given"))).alias("word")).unionByName(rows.select(F.col("at.place").alias("word")))
+
+        # one trie join for family names, given names and institutions alike
+        self.near = tables.written(near_words(vocabulary(self.a), vocabulary(self.b), 1), "near")
+        self.places = tables.written(near_places(a, b, self.near), "places")
 
     def at_place(self, marks: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
         """``id_a, id_b, name_a, name_b`` of rows at one institution that share a family name or nearly do.
@@ -200,11 +204,11 @@ class Meeting:
             return self.tables.written(self.keys.where("given <> ''").join(has.select("name_id", F.explode(arms).alias("arm")), "name_id"), "armed")
 
         a, b = armed(self.a, False), armed(self.b, True)
-        near = near_words(a, b, 1).where("distance = 0 or length(probe) >= 5 and length(word) >= 5").select("probe", F.col("word").alias("near"))
+        near = self.near.where("distance = 0 or length(probe) >= 5 and length(word) >= 5").select("probe", F.col("word").alias("near"))
         full, one = F.length("given") > 1, F.length("given") == 1
         marked = lambda mark, c: F.concat(F.lit(mark), c)
         letters = lambda mark: F.transform("letters", lambda x: F.concat(F.lit(mark), x))
-        x = a.join(near, F.col("word") == F.col("probe")).join(near_givens(a, b), F.col("given") == F.col("own"), "left")
+        x = a.join(near, F.col("word") == F.col("probe")).join(near_givens(self.near), F.col("given") == F.col("own"), "left")
         x = x.select(F.col("name_id").alias("name_a"), "near", "arm", F.explode(F.when(one, F.array(marked("i", F.col("given")))).otherwise(F.concat(F.array_compact(F.array(marked("g", F.col("theirs")))), letters("p")))).alias("key"))
         y = b.select(F.col("name_id").alias("name_b"), F.col("word").alias("near"), "arm", F.explode(F.when(full, F.concat(F.array(marked("g", F.col("given"))), letters("i"))).otherwise(F.array(marked("i", F.col("given")), marked("p", F.col("given"))))).alias("key"))
         return x.join(y, ["near", "arm", "key"]).select("name_a", "name_b").distinct()
