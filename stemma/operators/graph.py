@@ -4,6 +4,7 @@ depth (pointers) or with the depth (trees), never by walking on the driver."""
 from __future__ import annotations
 
 import itertools
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -115,27 +116,55 @@ def traced(links: DataFrame, starts: DataFrame, passing: Column, most: int = 8)
     return state.select("start", F.col("at").alias("target"), "hops")
 
 
+def upstream_roles(users: DataFrame, nodes: DataFrame, passing: Column, wanted: Column, most: int = 8) -> DataFrame:
+    """``user, role, target``: the node that an input (``user, role, at``) comes from when pass-through nodes are followed.
+
+    ``nodes``: ``node, kind, source`` (null source: none); ``passing`` and ``wanted`` are conditions on
+    ``kind``. Only targets of a wanted kind come out. Longer chains than ``most`` and cycles come to none.
+    """
+    n = nodes.groupBy("node").agg(F.min_by(F.struct("kind", "source"), F.struct("kind", "source")).alias("n")).select("node", "n.kind", "n.source")
+    marked = n.select(F.col("node").alias("_n"), passing.alias("_pass"), wanted.alias("_want"), F.col("source").alias("_source"))
+    state = users.select("user", "role", "at", F.lit(None).cast("boolean").alias("done"))
+    for _ in range(most + 1):
+        step = state.join(marked, (F.col("at") == F.col("_n")) & F.col("done").isNull(), "left")
+        on = F.coalesce(F.col("_pass") & F.col("_source").isNotNull(), F.lit(False))
+        state = step.select("user", "role", F.when(on, F.col("_source")).otherwise(F.col("at")).alias("at"), F.coalesce("done", F.when(~on, F.coalesce("_want", F.lit(False)))).alias("done"))
+    return state.where("done").select("user", "role", F.col("at").alias("target"))
+
+
 def unique_names(rows: DataFrame, name: str, node: str) -> DataFrame:
     """``rows`` with ``unique_name``: where several rows share a name, all of them get ``_node``."""
     n = F.count(F.lit(1)).over(Window.partitionBy(name))
     return rows.withColumn("unique_name", F.when(n > 1, F.concat(F.col(name), F.lit("_"), F.col(node).cast("string"))).otherwise(F.col(name)))
 
 
-def wiki_report(pages: DataFrame, stale_before: str, long: int = 200) -> DataFrame:
+def wiki_report(pages: DataFrame, stale_before: str, long: int = 200, index: DataFrame | None = None, tags: list[str] | None = None, hashes: DataFrame | None = None) -> DataFrame:
     """``page, issue, detail`` of a set of linked pages (``page, text, updated``).
 
     ``broken_link`` (to no page), ``orphan`` (no other page links to it), ``stale`` (not updated
-    since), ``long`` (more than so many lines).
+    since), ``long`` (more than so many lines). With an ``index`` (``page``): ``not_indexed`` and
+    ``indexed_only`` (no such page). With the ``tags`` that are allowed: ``unknown_tag``. With recorded
+    ``hashes`` (``page, sha256``): ``changed`` (the text's hash is another now).
     """
     from stemma.functions.text import links
 
     edges = pages.select("page", F.explode(links("text")).alias("to")).distinct()
     known = pages.select(F.col("page").alias("to"))
-    broken = edges.join(known, "to", "left_anti").select("page", F.lit("broken_link").alias("issue"), F.col("to").alias("detail"))
+    none = F.lit(None).cast("string")
+    found = [edges.join(known, "to", "left_anti").select("page", F.lit("broken_link").alias("issue"), F.col("to").alias("detail"))]
     linked = edges.where("page <> to").select(F.col("to").alias("page")).distinct()
-    none = F.lit(None).cast("string").alias("detail")
-    orphan = pages.join(linked, "page", "left_anti").select("page", F.lit("orphan").alias("issue"), none)
-    stale = pages.where(F.col("updated") < F.lit(stale_before).cast("date")).select("page", F.lit("stale").alias("issue"), F.col("updated").cast("string").alias("detail"))
+    found.append(pages.join(linked, "page", "left_anti").select("page", F.lit("orphan").alias("issue"), none.alias("detail")))
+    found.append(pages.where(F.col("updated") < F.lit(stale_before).cast("date")).select("page", F.lit("stale").alias("issue"), F.col("updated").cast("string").alias("detail")))
     lines = F.size(F.split("text", "\n"))
-    big = pages.where(lines > long).select("page", F.lit("long").alias("issue"), lines.cast("string").alias("detail"))
-    return broken.unionByName(orphan).unionByName(stale).unionByName(big)
+    found.append(pages.where(lines > long).select("page", F.lit("long").alias("issue"), lines.cast("string").alias("detail")))
+    if index is not None:
+        own = index.select("page").distinct()
+        found.append(pages.join(own, "page", "left_anti").select("page", F.lit("not_indexed").alias("issue"), none.alias("detail")))
+        found.append(own.join(pages, "page", "left_anti").select("page", F.lit("indexed_only").alias("issue"), none.alias("detail")))
+    if tags is not None:
+        used = pages.select("page", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"(?:^|\s)#([A-Za-z][\w-]*)"), F.lit(1)))).alias("tag"))
+        found.append(used.where(~F.col("tag").isin(*tags)).select("page", F.lit("unknown_tag").alias("issue"), F.col("tag").alias("detail")))
+    if hashes is not None:
+        now = pages.select("page", F.sha2("text", 256).alias("now"))
+        found.append(now.join(hashes.select("page", "sha256"), "page").where("now <> sha256").select("page", F.lit("changed").alias("issue"), F.col("now").alias("detail")))
+    return reduce(DataFrame.unionByName, found)

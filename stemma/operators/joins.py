@@ -104,15 +104,25 @@ def variant_overlap(a: DataFrame, a_id: str, a_variants: str, b: DataFrame, b_id
     return x.join(y, "_v").select(a_id, b_id).distinct()
 
 
-def box_overlaps(boxes: DataFrame, page: str, ordinal: str) -> DataFrame:
-    """``page, a, b``: boxes (``x0, y0, x1, y1``) that overlap an earlier box of their page."""
+def box_overlaps(boxes: DataFrame, page: str, ordinal: str, strip: float | None = None) -> DataFrame:
+    """``page, a, b``: boxes (``x0, y0, x1, y1``) that overlap an earlier box of their page.
+
+    For pages of very many boxes ``strip`` is the width of vertical strips: boxes meet only within a
+    strip, and a pair counts in the first strip that both have.
+    """
     keep = [page, ordinal, "x0", "y0", "x1", "y1"]
-    a, b = boxes.select(*keep).alias("a"), boxes.select(*keep).alias("b")
     c = F.col
+    a, b = boxes.select(*keep), boxes.select(*keep)
+    if strip is not None:
+        cut = lambda x: F.floor(c(x) / strip)
+        a, b = (t.withColumn("strip", F.explode(F.sequence(cut("x0"), F.greatest(cut("x0"), cut("x1"))))) for t in (a, b))
+    a, b = a.alias("a"), b.alias("b")
     on = (
         (c(f"a.{page}") == c(f"b.{page}")) & (c(f"a.{ordinal}") < c(f"b.{ordinal}"))
         & (c("a.x0") < c("b.x1")) & (c("b.x0") < c("a.x1")) & (c("a.y0") < c("b.y1")) & (c("b.y0") < c("a.y1"))
     )
+    if strip is not None:
+        on &= (c("a.strip") == c("b.strip")) & (c("a.strip") == F.floor(F.greatest("a.x0", "b.x0") / strip))
     return a.join(b, on).select(c(f"a.{page}").alias(page), c(f"a.{ordinal}").alias("a"), c(f"b.{ordinal}").alias("b"))
 
 

@@ -195,12 +195,51 @@ def author_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.decisions(occ, t.professors.select(F.col("professor_id").alias("person_id"), U.key("full_name").alias("name")))
 
 
+def topic_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The topic that stands behind the parent of some topics, in a positive or a negative role, when every third is passed through."""
+    t = Tables(spark, sf_dir).topics
+    kind = F.when(F.col("topic_id") % 3 == 0, "pass").when(F.col("topic_id") % 10 == 1, "other").otherwise("text")
+    users = t.where("topic_id % 4 = 0 and parent_topic_id is not null").select(F.col("topic_id").alias("user"), F.when(F.col("topic_id") % 8 == 0, "positive").otherwise("negative").alias("role"), F.col("parent_topic_id").alias("at"))
+    return G.upstream_roles(users, t.select(F.col("topic_id").alias("node"), kind.alias("kind"), F.col("parent_topic_id").alias("source")), F.col("kind") == "pass", F.col("kind") == "text")
+
+
+SQL_ROLES = """
+WITH RECURSIVE r AS (SELECT topic_id AS "user", CASE WHEN topic_id % 8 = 0 THEN 'positive' ELSE 'negative' END AS role, parent_topic_id AS target FROM topics WHERE topic_id % 4 = 0 AND parent_topic_id IS NOT NULL
+  UNION ALL SELECT r."user", r.role, t.parent_topic_id FROM r JOIN topics t ON t.topic_id = r.target WHERE r.target % 3 = 0 AND t.parent_topic_id IS NOT NULL)
+SELECT "user", role, target FROM r JOIN topics t ON t.topic_id = target WHERE target % 3 <> 0 AND target % 10 <> 1
+"""
+
+
+def wiki_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics as linked pages: links, index, tags, age, length and recorded hashes."""
+    t = Tables(spark, sf_dir).topics
+    name = lambda c: F.concat(F.lit("t"), F.col(c).cast("string"))
+    text = F.concat(F.lit("see [["), F.coalesce(name("parent_topic_id"), F.lit("nowhere")), F.lit("]]"), F.lit("\n#k"), (F.col("topic_id") % 5).cast("string"), F.repeat(F.lit("\n"), (F.col("topic_id") % 9).cast("int")))
+    pages = t.select(name("topic_id").alias("page"), text.alias("text"), F.to_date("created_at").alias("updated"), "topic_id")
+    index = pages.where("topic_id % 9 <> 2").select("page").unionByName(spark.createDataFrame([("t9999",)], "page string"))
+    hashes = pages.select("page", F.when(F.col("topic_id") % 10 == 4, "0").otherwise(F.sha2("text", 256)).alias("sha256"))
+    return G.wiki_report(pages.drop("topic_id"), "2020-01-01", 7, index, ["k0", "k1", "k2", "k3"], hashes)
+
+
+SQL_WIKI = """
+WITH p AS (SELECT topic_id, 't' || topic_id AS page, coalesce('t' || parent_topic_id, 'nowhere') AS l, CAST(created_at AS DATE) AS updated, 'see [[' || coalesce('t' || parent_topic_id, 'nowhere') || ']]' || chr(10) || '#k' || topic_id % 5 || repeat(chr(10), topic_id % 9) AS text FROM topics)
+SELECT page, 'broken_link' AS issue, l AS detail FROM p WHERE l NOT IN (SELECT page FROM p)
+UNION ALL SELECT page, 'orphan', NULL FROM p WHERE page NOT IN (SELECT l FROM p a WHERE a.page <> a.l)
+UNION ALL SELECT page, 'stale', CAST(updated AS VARCHAR) FROM p WHERE updated < DATE '2020-01-01'
+UNION ALL SELECT page, 'long', CAST(2 + topic_id % 9 AS VARCHAR) FROM p WHERE 2 + topic_id % 9 > 7
+UNION ALL SELECT page, 'not_indexed', NULL FROM p WHERE topic_id % 9 = 2
+UNION ALL SELECT 't9999', 'indexed_only', NULL
+UNION ALL SELECT page, 'unknown_tag', 'k4' FROM p WHERE topic_id % 5 = 4
+UNION ALL SELECT page, 'changed', sha256(text) FROM p WHERE topic_id % 10 = 4
+"""
+
+
 _ALL = (
     publication_records, profile_records, department_entries, author_entries, venue_row_indices, link_occurrences, left_edges, names_in_order, lines_in_reading_order, all_institutions, runs_of_a_week, orphaned_runs,
-    topics_of_a_kind, harvested_links, author_decisions,
+    topics_of_a_kind, harvested_links, author_decisions, topic_roles, wiki_issues,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 SQL = dict(
     publication_records=SQL_PUBLICATIONS, profile_records=SQL_PROFILES, department_entries=SQL_ENTRIES, author_entries=SQL_AUTHORS, venue_row_indices=SQL_INDICES, link_occurrences=SQL_OCCURRENCES, left_edges=SQL_EDGES,
-    names_in_order=SQL_BY_NAME, lines_in_reading_order=SQL_READING, all_institutions=SQL_ALL, runs_of_a_week=SQL_WEEK, orphaned_runs=SQL_ORPHANS, topics_of_a_kind=SQL_KIND, harvested_links=SQL_HARVESTED,
+    names_in_order=SQL_BY_NAME, lines_in_reading_order=SQL_READING, all_institutions=SQL_ALL, runs_of_a_week=SQL_WEEK, orphaned_runs=SQL_ORPHANS, topics_of_a_kind=SQL_KIND, harvested_links=SQL_HARVESTED, topic_roles=SQL_ROLES, wiki_issues=SQL_WIKI,
 )

@@ -121,3 +121,18 @@ def test_a_long_file_name_is_whole(spark):
 
     df = spark.createDataFrame([("a b" * 100,)], "t string")
     assert len(df.select(X.file_name("t").alias("x")).first().x) > 300
+
+
+def test_boxes_meet_in_strips_as_on_whole_pages(spark):
+    random.seed(10)
+    rows = [(i % 2, i, x, random.uniform(0, 50), x + random.uniform(0.1, 30), 60.0) for i in range(120) for x in [random.uniform(-40, 100)]]
+    df = spark.createDataFrame(rows, "p int, i int, x0 double, y0 double, x1 double, y1 double")
+    whole = sorted(tuple(r) for r in J.box_overlaps(df, "p", "i").collect())
+    assert whole and sorted(tuple(r) for r in J.box_overlaps(df, "p", "i", 10.0).collect()) == whole
+
+
+def test_roles_end_in_cycles_and_dead_ends(spark):
+    nodes = spark.createDataFrame([("a", "pass", "b"), ("b", "text", None), ("c", "pass", "d"), ("d", "pass", "c"), ("e", "pass", None)], "node string, kind string, source string")
+    users = spark.createDataFrame([("u", "positive", "a"), ("v", "negative", "c"), ("w", "positive", "e"), ("x", "negative", None), ("y", "positive", "b")], "user string, role string, at string")
+    got = {tuple(r) for r in G.upstream_roles(users, nodes, F.col("kind") == "pass", F.col("kind") == "text").collect()}
+    assert got == {("u", "positive", "b"), ("y", "positive", "b")}
