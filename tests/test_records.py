@@ -136,3 +136,14 @@ def test_roles_end_in_cycles_and_dead_ends(spark):
     users = spark.createDataFrame([("u", "positive", "a"), ("v", "negative", "c"), ("w", "positive", "e"), ("x", "negative", None), ("y", "positive", "b")], "user string, role string, at string")
     got = {tuple(r) for r in G.upstream_roles(users, nodes, F.col("kind") == "pass", F.col("kind") == "text").collect()}
     assert got == {("u", "positive", "b"), ("y", "positive", "b")}
+
+
+def test_a_database_is_read_by_jdbc_in_parts(spark):
+    url = "jdbc:derby:memory:records;create=true"
+    df = spark.range(100).selectExpr("cast(id as int) as ID", "concat('n', id) as NAME")
+    df.write.format("jdbc").option("url", url).option("dbtable", "PEOPLE").option("driver", "org.apache.derby.iapi.jdbc.AutoloadedDriver").mode("overwrite").save()
+    own = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    whole = A.read_table(spark, url, "SELECT ID, NAME FROM PEOPLE WHERE ID < 40", own)
+    parts = A.read_table(spark, url, "SELECT ID, NAME FROM PEOPLE WHERE ID < 40", own, ("ID", 0, 40, 4))
+    assert parts.rdd.getNumPartitions() == 4
+    assert sorted(tuple(r) for r in whole.collect()) == sorted(tuple(r) for r in parts.collect()) == [(i, f"n{i}") for i in range(40)]
