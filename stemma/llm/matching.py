@@ -123,7 +123,8 @@ def _round(state: DataFrame, rho: float, damping: float) -> DataFrame:
     for side, own, other in (("a", "from_a", "from_b"), ("b", "from_b", "from_a")):
         said = state.withColumn("say", _softplus(F.col("prior") + F.col(other), rho))
         total = said.groupBy(F.col(side).alias("node")).agg(F.sum("say").alias("total"))
-        heard = said.join(total, F.col(side) == F.col("node"))
+        # never a broadcast: there are as many sums as records, and rounds would pile them up in the driver
+        heard = said.join(total.hint("merge"), F.col(side) == F.col("node"))
         new = _answer(F.col("total"), F.col("say"), rho)
         state = heard.withColumn("new", damping * F.col(own) + (1 - damping) * new)
         state = state.withColumn("moved", F.greatest("moved", F.abs(F.col("new") - F.col(own)))).withColumn(own, F.col("new")).select("a", "b", "prior", "from_a", "from_b", "moved")
