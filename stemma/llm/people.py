@@ -21,7 +21,7 @@ from stemma.session import Scratch, spread, written
 
 #: Least name score with the same institution, and with an absent one.
 SAME_PLACE = 0.5
-NO_PLACE = 0.84
+NO_PLACE = 0.81
 #: Name score from which a name has no typo.
 NO_TYPO = 0.97
 #: Letters from which an institution's name may have a typo.
