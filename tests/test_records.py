@@ -1,6 +1,7 @@
 """Record projections, decisions, checks that stop, logs and similar titles."""
 
 import difflib
+import math
 import random
 
 import pytest
@@ -116,6 +117,38 @@ def test_similar_titles_against_all_pairs(spark):
     assert got <= want and len(got) >= 0.95 * len(want) > 0
 
 
+def test_bounds_of_similar_titles_lose_none_and_leave_out_most():
+    from stemma.functions.unicode import common_letters, gram_set
+
+    random.seed(11)
+    words = ["wear", "of", "weirs", "in", "tidal", "basins", "creep", "gauges", "ballast", "noise", "under", "drought", "\u00e9t\u00e9"]
+    texts = [" ".join(random.choices(words, k=random.randint(0, 22))) for _ in range(120)]
+    for t in texts[:80]:
+        u = list(t)
+        for _ in range(random.randint(1, 9)):
+            at = random.randint(0, len(u))
+            u[at : at + random.randint(0, 1)] = random.choice(["", "x", "e", " "])
+        texts.append("".join(u))
+    pairs = [(t, u) for i, t in enumerate(texts) for u in texts[:i]]
+    found = near = 0
+    for (t, u), n in zip(pairs, common_letters(*zip(*pairs)).tolist()):
+        (x, p), (y, q) = gram_set(t), gram_set(u)
+        both = len(t) + len(u)
+        match = math.ceil(0.85 * both / 2 - 1e-6)
+        stays = (x & y).bit_count() + min(p, q) >= 3 * match - both - 1
+        if difflib.SequenceMatcher(None, t, u).ratio() >= 0.85:
+            assert stays and 2 * n >= 0.85 * both - 1e-6
+            found += 1
+        near += stays and 2 * n >= 0.85 * both - 1e-6
+    assert found > 50 and near < 2 * found
+
+
+def test_similar_titles_of_years_at_the_ends_of_their_type(spark):
+    title = "wear of weirs in tidal basins"
+    df = spark.createDataFrame([(1, title, 2**31 - 1), (2, title + "s", 2**31 - 2), (3, title, -(2**31)), (4, "", 2000), (5, "", 2001)], "id int, t string, y int")
+    assert {(r.id, r.other) for r in J.similar_titles(df, "id", "t", "y").collect()} == {(1, 2), (4, 5)}
+
+
 def test_a_long_file_name_is_whole(spark):
     from stemma.functions import text as X
 
