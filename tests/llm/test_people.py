@@ -34,6 +34,21 @@ def test_near_words_against_brute_force(spark):
     assert J.near_words(df.limit(0), df).count() == 0
 
 
+def test_one_edit_without_tries_against_brute_force(spark):
+    random.seed(12)
+    w = {"".join(random.choice("aab\u00e9") for _ in range(random.randint(1, 6))) for _ in range(150)} | {"xaby", "xbcy", "xbay", "\U0001d49cbc", "b\U0001d49cc"}
+    for n in (J.LONG_WORD - 1, J.LONG_WORD, J.LONG_WORD + 1):  # on both sides of the border to the tries
+        x = "".join(random.choice("abcdef") for _ in range(n))
+        w |= {x, x + "k", "k" + x, x[1:], x[:9] + x[10] + x[9] + x[11:], x[:-2] + "k" + x[-1]}
+    df = spark.createDataFrame([(x,) for x in w], "word string")
+    near = lambda rows: sorted((a, b, N.edits(a, b, 1)) for a in rows for b in rows if a == b or min(len(a), len(b)) > 2 and N.edits(a, b, 1) == 1)
+    assert sorted(tuple(r) for r in J.near_words(df, df, 1).select("probe", "word", "distance").collect()) == near(w)
+    short = df.where(f"length(word) <= {J.LONG_WORD}")
+    got = J._one_edit(short, short.withColumnRenamed("word", "entry"))
+    assert sorted({tuple(r) for r in got.collect()}) == near({x for x in w if len(x) <= J.LONG_WORD})
+    assert "FlatMapCoGroups" not in got._jdf.queryExecution().toString()
+
+
 def test_near_words_within_two_edits_against_brute_force(spark):
     random.seed(4)
     w = ["".join(random.choice("ab") for _ in range(random.randint(4, 11))) for _ in range(80)]
