@@ -3,6 +3,8 @@
 import itertools
 import math
 import random
+import time
+from pathlib import Path
 
 import pytest
 from hypothesis import given, settings
@@ -13,7 +15,7 @@ from stemma.llm import matching as M
 from stemma.llm import names as N
 from stemma.llm import people as P
 from stemma.llm import trie_join as J
-from stemma.session import Scratch
+from stemma.session import Scratch, shared_dir
 
 
 @settings(max_examples=200, deadline=None)
@@ -152,6 +154,37 @@ def test_short_family_names_need_a_full_given_name_at_one_place(spark):
     assert {tuple(r) for r in P.author_links(spark.createDataFrame(rows, PROFESSOR), None, a).collect()} == {("authorship", 1, 1), ("authorship", 4, 1)}
 
 
+def _shuffled(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f for k in range(files.size()) if (f := files.apply(k).getName()).startswith("shuffle_")}
+
+
+def test_links_leave_no_shuffle_files_and_drop_their_tables(spark):
+    a = spark.createDataFrame([(1, None, "A. M. Stonehma", "University of Dale"), (2, None, "FIELDER Piotr", None)], "authorship_id long, professor_id long, author_name_as_published string, institution string")
+    shared = Path(shared_dir(spark).removeprefix("file://"))
+    files, tables = _shuffled(spark), set(shared.iterdir())
+    got = P.author_links(_professors(spark), None, a)
+    until = time.time() + 20  # they are deleted by other threads
+    while _shuffled(spark) - files and time.time() < until:
+        time.sleep(0.2)
+    assert not _shuffled(spark) - files
+    assert len(set(shared.iterdir()) - tables) == 1 and got.count() > 2
+
+
+def test_names_meet_in_rounds_as_at_once(spark, monkeypatch):
+    random.seed(14)
+    w = ["".join(random.choice("abc") for _ in range(random.randint(1, 7))) for _ in range(120)] + ["x" * J.LONG_WORD, "x" * J.LONG_WORD + "y"]
+    df = spark.createDataFrame([(x,) for x in w], "word string")
+    shares = [{tuple(r) for r in J.near_words(df, df, 1, part=(k, 3)).collect()} for k in range(3)]
+    assert all(shares) and set().union(*shares) == {tuple(r) for r in J.near_words(df, df, 1).collect()}
+    firsts, families = ["Bob", "Robert", "Rbert", "R.", "Ann"], ["Stoneham", "Stonehma", "Li", "Marsham"]
+    rows = [(i, None, f"{random.choice(firsts)} {random.choice(families)}", random.choice(["University of Dale", None])) for i in range(40)]
+    a = spark.createDataFrame(rows, "authorship_id long, professor_id long, author_name_as_published string, institution string")
+    whole = {tuple(r) for r in P.author_links(_professors(spark), None, a).collect()}
+    monkeypatch.setattr(P, "KEYS_A_ROUND", 9)
+    assert {tuple(r) for r in P.author_links(_professors(spark), None, a).collect()} == whole and len(whole) > 3
+
+
 def test_candidates_against_all_pairs_and_a_hot_family_name(spark):
     """Blocks lose no pair that the comparison of all pairs accepts, and a common family name is not multiplied out."""
     random.seed(5)
