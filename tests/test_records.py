@@ -117,6 +117,33 @@ def test_similar_titles_against_all_pairs(spark):
     assert got <= want and len(got) >= 0.95 * len(want) > 0
 
 
+def test_similar_titles_meet_in_rounds_as_at_once(spark, monkeypatch):
+    random.seed(15)
+    words = ["wear", "of", "weirs", "in", "tidal", "basins", "creep", "gauges", "ballast", "noise"]
+    rows = [(i, " ".join(random.sample(words[: random.choice([7, 10])], 6)), random.choice([2000, 2001, 2004])) for i in range(90)] + [(90, None, 2000), (91, "", 2001)]
+    df = spark.createDataFrame(rows, "id int, t string, y int")
+    whole = sorted(tuple(r) for r in J.similar_titles(df, "id", "t", "y").collect())
+    monkeypatch.setattr(J, "WORDS_A_ROUND", 99)
+    assert whole and sorted(tuple(r) for r in J.similar_titles(df, "id", "t", "y").collect()) == whole
+    assert J.similar_titles(df.limit(0), "id", "t", "y").count() == 0
+
+
+def test_pairs_of_similar_titles_are_not_shuffled(spark):
+    context = spark.sparkContext
+    random.seed(16)
+    words = "wear of weirs in tidal basins under creep and ballast noise".split()  # in another order they pass the bits and are not similar
+    df = spark.createDataFrame([(i, " ".join(random.sample(words, len(words))), 2000) for i in range(200)], "id int, t string, y int")
+    context.setJobGroup("titles", "titles")
+    try:
+        found = J.similar_titles(df, "id", "t", "y").count()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker, store = context.statusTracker(), context._jsc.sc().statusStore()
+    stages = {k for j in tracker.getJobIdsForGroup("titles") for k in tracker.getJobInfo(j).stageIds if tracker.getStageInfo(k)}
+    moved = [store.lastStageAttempt(k).shuffleWriteRecords() for k in sorted(stages)]
+    assert found < 100 and 0 < max(moved) < 199 * 100 / 2
+
+
 def test_bounds_of_similar_titles_lose_none_and_leave_out_most():
     from stemma.functions.unicode import common_letters, gram_set
 
